@@ -16,8 +16,11 @@ def strip_newlines(text: Column) -> Column:
 
 
 def strip_parenthetical(text: Column) -> Column:
-    """Remove every shortest ``( ... )`` run; run after :func:`strip_newlines`."""
-    return F.regexp_replace(text, r"\(.*?\)", "")
+    """Remove every shortest ``( ... )`` run; run after :func:`strip_newlines`.
+
+    Texts without a parenthesis skip the pattern.
+    """
+    return F.when(text.contains("("), F.regexp_replace(text, r"\(.*?\)", "")).otherwise(text)
 
 
 def corner_value(power: Column, toughness: Column, loyalty: Column, defense: Column) -> Column:
@@ -31,8 +34,12 @@ def price_fallback(usd: Column, usd_foil: Column) -> Column:
 
 
 def blank_to_null(text: Column) -> Column:
-    """The value a delimited-file round trip returns: trimmed, and empty as null."""
-    return F.nullif(F.btrim(text, F.lit(_TRIMMED)), F.lit(""))
+    """The value a delimited-file round trip returns: trimmed, and empty as null.
+
+    Most values start and end with a visible character and pass unchanged.
+    """
+    visible = (text >= "!") & (F.substring(text, -1, 1) >= "!")
+    return F.when(visible, text).otherwise(F.nullif(F.btrim(text, F.lit(_TRIMMED)), F.lit("")))
 
 
 def normalise_strings(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from ..schemas import FACE_PATHS, face_columns, field_or_null
+from ..schemas import FACE_PATHS, face_columns, field_or_null, has_field
 from .joins import full_outer_using
 
 ONLY_FACE = "0"
@@ -28,8 +28,8 @@ def _face_type(bronze: DataFrame) -> StructType | None:
     return None
 
 
-def _values(schema: StructType, mode: str, under: str = "") -> dict[str, Column]:
-    return {name: field_or_null(schema, FACE_PATHS.get(name, name), under) for name in face_columns(mode)}
+def _values(schema: StructType, mode: str, under: str = "", dtype: str = "string") -> dict[str, Column]:
+    return {name: field_or_null(schema, FACE_PATHS.get(name, name), under, dtype) for name in face_columns(mode)}
 
 
 def _prices(bronze: DataFrame) -> list[Column]:
@@ -93,26 +93,41 @@ def join_faces(mode: str, bronze: DataFrame) -> DataFrame:
 
 
 def select_faces(mode: str, bronze: DataFrame) -> DataFrame:
-    """Both kinds in a single pass; an empty face array yields no row."""
+    """Both kinds in a single pass; an empty face array yields no row.
+
+    Only the wanted face fields are zipped into the exploded array, so the scan
+    skips the others, and the whole array is not repeated for every face.
+    """
     face = _face_type(bronze)
     if face is None:
         return flat_cards(mode, bronze)
-    own = {name: value.alias(f"own_{name}") for name, value in _values(bronze.schema, mode).items()}
-    opened = bronze.select(
+    names = face_columns(mode)
+    own = _values(bronze.schema, mode)
+    present = {
+        name: value.alias(name)
+        for name, value in _values(face, mode, "card_faces", "array<string>").items()
+        if has_field(face, FACE_PATHS.get(name, name))
+    }
+    zipped = F.arrays_zip(*present.values()) if present else F.col("card_faces")
+    cards = bronze.select(
         "oracle_id",
         F.col("card_faces").isNull().alias("is_single"),
-        *own.values(),
+        zipped.alias("faces"),
+        *[own[name].alias(f"own_{name}") for name in names],
         *_prices(bronze),
-        F.posexplode_outer("card_faces").alias("position", "face"),
+    )
+    opened = cards.select(
+        *[c for c in cards.columns if c != "faces"], F.posexplode_outer("faces").alias("position", "face")
     ).filter(F.col("is_single") | F.col("position").isNotNull())
-    picked = {
-        name: F.when(F.col("is_single"), F.col(f"own_{name}")).otherwise(value)
-        for name, value in _values(face, mode, "face").items()
-    }
+
+    def picked(name: str) -> Column:
+        own_value = F.when(F.col("is_single"), F.col(f"own_{name}"))
+        return own_value.otherwise(F.col(f"face.{name}")) if name in present else own_value
+
     return opened.select(
         "oracle_id",
         F.coalesce(F.col("position").cast("string"), F.lit(ONLY_FACE)).alias("card_face_number"),
-        *_columns(picked),
+        *[picked(name).alias(name) for name in names],
         "usd",
         "usd_foil",
     )

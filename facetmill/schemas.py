@@ -99,11 +99,17 @@ def string_schema(columns: list[str]) -> StructType:
     return StructType(_strings(*columns))
 
 
+def has_field(schema: DataType, path: str) -> bool:
+    """Whether struct type ``schema`` holds the dotted ``path``."""
+    for part in path.split("."):
+        if not isinstance(schema, StructType) or part not in schema.fieldNames():
+            return False
+        schema = schema[part].dataType
+    return True
+
+
 def field_or_null(schema: DataType, path: str, under: str = "", dtype: str = "string") -> Column:
     """``path`` below column ``under`` as ``dtype``, or a typed null when ``schema`` lacks it."""
-    here = schema
-    for part in path.split("."):
-        if not isinstance(here, StructType) or part not in here.fieldNames():
-            return F.lit(None).cast(dtype)
-        here = here[part].dataType
+    if not has_field(schema, path):
+        return F.lit(None).cast(dtype)
     return F.col(f"{under}.{path}" if under else path).cast(dtype)

@@ -25,7 +25,8 @@ def read_table(spark: SparkSession, path: str, fmt: str, schema: StructType | No
     """Read a table; without ``schema`` JSON is inferred and every CSV column is a string."""
     reader = spark.read.format(fmt).options(**_OPTIONS.get(fmt, {}))
     if schema is not None:
-        reader = reader.schema(schema)
+        # A CSV header that does not name these columns in this order is an error.
+        reader = reader.schema(schema).option("enforceSchema", "false")
     return reader.load(path)
 
 
