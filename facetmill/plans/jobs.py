@@ -7,7 +7,7 @@ next one through a zone, so a failed job restarts without redoing the others.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, fields
 from datetime import date, datetime, timezone
 from functools import cached_property
@@ -16,17 +16,20 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import price_bucket
 from ..operators import (
     evaluate,
     fit_classifier,
     gold_transform,
     hash_split,
+    score_with,
     score_with_model,
     select_results,
     silver_transform,
+    unpack_results,
     with_row_text,
 )
-from ..functions import price_bucket
+from ..operators.model import Scorer
 from ..sources import (
     ZoneStore,
     append_model_run,
@@ -147,10 +150,23 @@ def load_latest_model(spark: SparkSession, config: Mapping[str, object] | Traini
     return PipelineModel.load(row["model_path"])
 
 
-def predict_df(gold: DataFrame, config: Mapping[str, object] | TrainingConfig, root_dir: str) -> DataFrame:
-    """``gold`` with ``label`` and ``score`` from the experiment's latest model."""
-    model = load_latest_model(gold.sparkSession, config, root_dir)
-    return score_with_model(model, with_row_text(gold)).drop("gameplay_text")
+def predict_df(
+    gold: DataFrame,
+    config: Mapping[str, object] | TrainingConfig,
+    root_dir: str,
+    scorer: Callable[[], Scorer] | None = None,
+) -> DataFrame:
+    """``gold`` with ``label`` and ``score`` from the experiment's latest model.
+
+    ``scorer`` replaces the model: a function that loads any text scorer, run
+    once per task.
+    """
+    texts = with_row_text(gold)
+    if scorer is not None:
+        scored = unpack_results(score_with(texts, "gameplay_text", scorer))
+    else:
+        scored = score_with_model(load_latest_model(gold.sparkSession, config, root_dir), texts)
+    return scored.drop("gameplay_text")
 
 
 def write_predict_results(
@@ -160,14 +176,15 @@ def write_predict_results(
     table: str = "results",
     fmt: str = "parquet",
     path: str | None = None,
+    scorer: Callable[[], Scorer] | None = None,
 ) -> None:
     """Score ``gold`` and overwrite the results table."""
-    write_results_table(select_results(predict_df(gold, config, root_dir)), table, fmt, path)
+    write_results_table(select_results(predict_df(gold, config, root_dir, scorer)), table, fmt, path)
 
 
 def train_job(work: Workspace, config: Mapping[str, object] | TrainingConfig) -> str:
     return train_model(work.zones.read("gold", work.current_run()), config, work.root_dir)
 
 
-def predict_job(work: Workspace, config: Mapping[str, object] | TrainingConfig, **sink) -> None:
-    write_predict_results(work.zones.read("gold", work.current_run()), config, work.root_dir, **sink)
+def predict_job(work: Workspace, config: Mapping[str, object] | TrainingConfig, **options) -> None:
+    write_predict_results(work.zones.read("gold", work.current_run()), config, work.root_dir, **options)

@@ -133,7 +133,6 @@ _ROW_TEXT = "concat_ws(' ', " + ", ".join(
 ) + ")"
 _BUCKET = "CASE WHEN TRY_CAST(price AS FLOAT) >= 3.0 THEN 1 ELSE 0 END"
 
-_FACE_COLUMNS = "oracle_id, card_face_number, mana_cost, type_line, oracle_text, power, toughness, loyalty, defense, usd, usd_foil"
 
 _TOKENS = """
 words AS (
@@ -204,7 +203,7 @@ def _face_rows(side: str, number: int, where: str) -> str:
 _SCORED = """
 scored AS (
   SELECT doc_id, CASE WHEN length(text) >= 1000 THEN 'Above_3' ELSE 'Below_3' END AS label,
-    CASE WHEN length(text) >= 1000 THEN 0.75 ELSE 0.5 END AS score
+    CAST(CASE WHEN length(text) >= 1000 THEN 0.75 ELSE 0.5 END AS DOUBLE) AS score
   FROM documents
 )"""
 

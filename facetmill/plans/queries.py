@@ -330,10 +330,8 @@ def encoded_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = op.hash_split(table(spark, sf_dir, "events"), ["event_id"], 0.2)
-    return train.select("event_id", F.lit("train").alias("part")).union(
-        test.select("event_id", F.lit("test").alias("part"))
-    )
+    part = F.when(op.is_test_row(["event_id"], 0.2), "test").otherwise("train")
+    return table(spark, sf_dir, "events").select("event_id", part.alias("part"))
 
 
 def _judged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

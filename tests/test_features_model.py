@@ -56,6 +56,13 @@ def test_vocabulary_equals_brute_force(spark, size):
     assert got == _vocabulary(TEXTS, size)
 
 
+def test_vocabulary_drops_rare_words_exactly(spark):
+    texts = [" ".join(f"w{i}" for i in range(n)) for n in range(1, 60)]
+    for size in (1, 2, 17, 40, 59, 60):
+        got = {r.token: (r.n, r.token_id) for r in build_vocabulary(_texts(spark, texts), "t", size).collect()}
+        assert got == _vocabulary(texts, size)
+
+
 @pytest.mark.parametrize("truncate", [False, True])
 def test_encoding_equals_brute_force(spark, truncate):
     known = _vocabulary(TEXTS, 5)

@@ -67,6 +67,8 @@ def test_train_then_predict(spark, tmp_path):
 
     gold = work.zones.read("gold", work.current_run())
     assert predict_df(gold, CONFIG, root).columns == [*gold_columns("predict"), "label", "score"]
+    fixed = predict_df(gold, CONFIG, root, scorer=lambda: lambda text: [{"label": "Above_3", "score": 0.85}])
+    assert {(r.label, r.score) for r in fixed.collect()} == {("Above_3", 0.85)}
     with pytest.raises(LookupError):
         load_latest_model(spark, {"model_name": "other"}, root)
 

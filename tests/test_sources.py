@@ -5,7 +5,6 @@ from datetime import date, datetime, timezone
 
 import pytest
 from cards import CARDS, bronze, card
-from pyspark.sql import functions as F
 
 from facetmill.schemas import page_schema, string_schema
 from facetmill.sources import (
@@ -153,10 +152,15 @@ def test_pages_equal_a_serial_walk(spark, seed, broadcast_bytes):
     schema = page_schema(RECORD)
     df = spark.createDataFrame([tuple(p[n] for n in schema.fieldNames()) for p in pages], schema).repartition(3)
     kept, status = _brute_force(pages)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, str(broadcast_bytes or -1))
     got = flatten_pages(df, broadcast_bytes=broadcast_bytes, salts=4)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("SortMergeJoin" in plan) == (broadcast_bytes == 0)
     assert got.columns == ["request_id", "page_no", "v"]
     assert sorted((tuple(r) for r in got.collect()), key=repr) == kept
     assert {r.request_id: (r.status, r.last_page) for r in page_status(df).collect()} == status
+    spark.conf.unset(threshold)
 
 
 def test_landed_page_files(spark, tmp_path):
