@@ -394,8 +394,11 @@ def _refined(spark: SparkSession, sf_dir: str, mode: str, layout: str = "columna
 
 @query
 def e2e_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land pages as JSON files, then run the bronze job on them."""
+    landed = scratch_path(spark, "landed")
+    src.write_table(record_pages(spark, sf_dir), landed, "json")
     work = Workspace(spark, scratch_path(spark, "lake-bronze"), "train")
-    identifier = bronze_job(work, record_pages(spark, sf_dir), AS_OF, NOW, since_year=SINCE_YEAR)
+    identifier = bronze_job(work, src.read_pages(spark, landed), AS_OF, NOW, since_year=SINCE_YEAR)
     return _flat_record(work.zones.read("bronze", identifier))
 
 
