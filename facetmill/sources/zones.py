@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
-from ..functions import normalise_strings
+from ..functions import normalise_strings, strip_newlines
 from ..schemas import BRONZE_SCHEMA, check_mode, gold_columns, silver_columns, string_schema
 
 # Storage format by zone. "text" keeps row files that people can open; "columnar"
@@ -31,6 +32,10 @@ def read_table(spark: SparkSession, path: str, fmt: str, schema: StructType | No
 
 
 def write_table(df: DataFrame, path: str, fmt: str) -> None:
+    """Overwrite a table; in CSV, newlines inside values become spaces so that rows stay whole."""
+    if fmt == "csv":
+        texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+        df = df.withColumns({name: strip_newlines(F.col(name)) for name in texts})
     df.write.format(fmt).options(**_OPTIONS.get(fmt, {})).mode("overwrite").save(path)
 
 

@@ -115,6 +115,16 @@ def test_hot_group_is_reduced_before_the_shuffle(spark):
     assert plan.count("Exchange") == 1 and "partial_min" in plan
 
 
+def test_item_with_a_third_of_all_rows(spark, rows):
+    """Every row of a hot item is considered, and the others keep theirs."""
+    hot = [("hot", str(i % 2), f"t{i:05d}", str(i)) for i in range(3000, 0, -1)]
+    cold = [(f"c{i}", str(k), f"x{k}", str(i)) for i in range(3000) for k in (0, 1)]
+    gold = rows(gold_transform("train", _silver(spark, *hot, *cold).repartition(16)))
+    assert len(gold) == 3001
+    (row,) = [r for r in gold if r["oracle_id"] == "hot"]
+    assert (row["oracle_text"], row["price"], row["second_oracle_text"]) == ("t00002", "2", "t00001")
+
+
 def test_first_per_group(spark, rows):
     df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "z"), ("a", 1, "y"), ("b", 5, None)], "k string, o int, v string")
     assert rows(first_per_group(df, ["k"], ["v"], ["o"])) == [{"k": "a", "v": "y"}, {"k": "b", "v": None}]

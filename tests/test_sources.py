@@ -60,6 +60,12 @@ def test_one_line_array_is_one_row_per_element(spark, tmp_path):
     assert [r.oracle_id for r in read_table(spark, str(path), "json").collect()] == ["a", "b"]
 
 
+def test_csv_rows_stay_whole(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.createDataFrame([("a\nb", "1\n"), ("c", "2")], "a string, b string"), path, "csv")
+    assert rows(read_table(spark, path, "csv")) == [{"a": "a b", "b": "1"}, {"a": "c", "b": "2"}]
+
+
 def test_csv_header_must_match(spark, tmp_path):
     path = str(tmp_path / "t")
     write_table(spark.createDataFrame([("1", "2")], "a string, b string"), path, "csv")
