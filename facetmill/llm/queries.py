@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from facetmill.session import materialise
 
-from . import decontamination, langid, neardup, packing
+from . import decontamination, langid, neardup, packing, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,16 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(materialise(pieces, "token-pieces"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        *[secrets.counted(kind).alias(f"n_{kind}") for kind in secrets.BASE_KINDS],
+        F.sha2(secrets.listed(secrets.BASE_KINDS), 256).alias("base_sha256"),
+        secrets.listed(secrets.KINDS).alias("spans"),
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     field = langid.train(docs.filter(_remainder(4) != 2))
@@ -50,4 +60,13 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_best_fit_packing, op8_language_id, op9_benchmark_decontamination)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_minhash_near_dedup,
+        op3_best_fit_packing,
+        op4_secret_scan,
+        op8_language_id,
+        op9_benchmark_decontamination,
+    )
+}
