@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from facetmill.session import materialise
 
-from . import decontamination, langid, neardup, packing, secrets
+from . import decontamination, extraction, langid, neardup, packing, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,11 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extraction.extract(_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -68,5 +73,6 @@ QUERIES = {
         op4_secret_scan,
         op8_language_id,
         op9_benchmark_decontamination,
+        op10_html_extraction,
     )
 }
