@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from facetmill.session import materialise
 
-from . import decontamination, extraction, langid, neardup, packing, secrets
+from . import decontamination, extraction, langid, licenses, neardup, packing, secrets, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,21 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicate_classes(_table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    starts = F.transform("base_places", lambda x: x["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base_places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.concat_ws(",", "base_labels").alias("base_labels"),
+        F.concat_ws(",", "labels").alias("labels"),
+        "score",
+    )
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = packing.token_pieces(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -39,6 +54,12 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weights = urls.train(urls.training_table(spark))
+    judged = urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), weights, keep=["page_id"])
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     field = langid.train(docs.filter(_remainder(4) != 2))
@@ -69,8 +90,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup,
+        op2_license_scan,
         op3_best_fit_packing,
         op4_secret_scan,
+        op6_url_filter,
         op8_language_id,
         op9_benchmark_decontamination,
         op10_html_extraction,
