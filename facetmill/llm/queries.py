@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from facetmill.session import materialise
 
-from . import decontamination, extraction, langid, licenses, neardup, packing, secrets, urls
+from . import decontamination, extraction, langid, licenses, neardup, packing, secrets, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,19 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(_remainder(3) != 1)
+    scorer = toxicity.learn(docs.join(labels, "doc_id"), toxicity.costs(toxicity.trigram_counts(docs)))
+    found = toxicity.score(docs, scorer, keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        (_remainder(3) == 1).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = urls.train(urls.training_table(spark))
     judged = urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), weights, keep=["page_id"])
@@ -93,6 +106,7 @@ QUERIES = {
         op2_license_scan,
         op3_best_fit_packing,
         op4_secret_scan,
+        op5_toxicity,
         op6_url_filter,
         op8_language_id,
         op9_benchmark_decontamination,
