@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from facetmill.session import materialise
 
-from . import decontamination, extraction, langid, licenses, neardup, packing, secrets, toxicity, urls
+from . import decontamination, extraction, fingerprints, langid, licenses, neardup, packing, secrets, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,36 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op7_document_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("n_chars", F.char_length("text"))
+    order = fingerprints.with_next(docs)
+    # What the document before this one takes of it: as many characters as it replaces, and its digests.
+    wants = order.join(docs.select("doc_id", F.floor(F.col("n_chars") / 4).cast("int").alias("cut")), "doc_id")
+    wants = wants.select(F.col("next").alias("doc_id"), F.col("doc_id").alias("before"), "cut")
+    heads = docs.join(wants, "doc_id").select(
+        F.col("before").alias("doc_id"), "cut", F.substr("text", F.lit(1), F.col("cut")).alias("head"), fingerprints.digests(F.col("text")).alias("next_digests")
+    )
+    joined = docs.join(heads, "doc_id").withColumn("edited", F.concat(F.substr("text", F.lit(1), F.col("n_chars") - F.col("cut")), F.col("head")))
+    ready = joined.select(
+        "doc_id",
+        F.col("n_chars").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.digests(F.col("text")).alias("own"),
+        fingerprints.digests(F.col("edited")).alias("changed"),
+        "next_digests",
+    )
+    return ready.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.as_text(F.col("own")).alias("fingerprint"),
+        fingerprints.as_text(F.col("changed")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        fingerprints.likeness(F.col("own"), F.col("next_digests")).alias("near_next"),
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     field = langid.train(docs.filter(_remainder(4) != 2))
@@ -108,6 +138,7 @@ QUERIES = {
         op4_secret_scan,
         op5_toxicity,
         op6_url_filter,
+        op7_document_fingerprint,
         op8_language_id,
         op9_benchmark_decontamination,
         op10_html_extraction,
