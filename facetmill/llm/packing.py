@@ -135,39 +135,52 @@ def fit_repeats(patterns: np.ndarray, counts: np.ndarray, steps: int = 300) -> n
     return x
 
 
-def plan_packing(counts: np.ndarray, size: int = SIZE, rounds: int = 6) -> list[tuple[tuple[int, ...], int]]:
-    """Sequences as (lengths in order, repeats) for ``counts[length]`` pieces of each length."""
+# Ways to fit: share of the histogram that patterns are fitted to, and whether pieces
+# over half a sequence, which need one of their own, are filled first.
+VARIANTS = ((1.0, False), (0.7, False), (0.5, False))
+
+Plan = list[tuple[tuple[int, ...], int]]
+
+
+def plan_packing(counts: np.ndarray, size: int = SIZE) -> Plan:
+    """Sequences as (lengths in order, repeats) for ``counts[length]`` pieces of each length: the best variant's."""
+    plans = (_fitted(counts, size, share, large) for share, large in VARIANTS)
+    return min(plans, key=lambda p: sum(r for _, r in p))
+
+
+def _fitted(counts: np.ndarray, size: int, share: float, large: bool, rounds: int = 6) -> Plan:
     left = counts.astype(np.int64).copy()
-    plan: list[tuple[tuple[int, ...], int]] = []
+    target = np.floor(left * share).astype(np.int64)
+    plan: Plan = []
 
-    def take(pattern: tuple[int, ...], repeats: int) -> None:
+    def take(pattern: tuple[int, ...], repeats: int) -> int:
         need: dict[int, int] = defaultdict(int)
         for n in pattern:
             need[n] += 1
-        repeats = min([repeats, *(int(left[n]) // k for n, k in need.items())])
+        repeats = min([repeats, *(int(target[n]) // k for n, k in need.items())])
         if repeats > 0:
             for n, k in need.items():
+                target[n] -= repeats * k
                 left[n] -= repeats * k
             plan.append((pattern, repeats))
-
-    for _ in range(rounds):
-        lengths = np.flatnonzero(left)
-        patterns = exact_patterns(lengths, size)
-        if not len(patterns):
-            break
-        before = int(left.sum())
-        x = fit_repeats(patterns, left)
-        for k in np.argsort(-x, kind="stable"):
-            whole = int(x[k] + 1e-9)
-            if not whole:
+        return max(repeats, 0)
+
+    for smallest in (size // 2, 0) if large else (0,):
+        for _ in range(rounds):
+            patterns = exact_patterns(np.flatnonzero(target), size)
+            patterns = patterns[patterns[:, 0] > smallest]
+            x, taken = fit_repeats(patterns, target), 0
+            for k in np.argsort(-x, kind="stable"):
+                whole = int(x[k] + 1e-9)
+                if not whole:
+                    break
+                taken += take(tuple(int(n) for n in patterns[k] if n), whole)
+            if taken <= 0.01 * target.sum():
                 break
-            take(tuple(int(n) for n in patterns[k] if n), whole)
-        if before - int(left.sum()) < 0.02 * before:
-            break
     return plan + best_fit(left, size)
 
 
-def best_fit(counts: np.ndarray, size: int) -> list[tuple[tuple[int, ...], int]]:
+def best_fit(counts: np.ndarray, size: int) -> Plan:
     """Best fit, longest first, on counts: equal sequences are kept as one entry with a number."""
     by_free: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
     open_free = np.zeros(size + 1, bool)
@@ -192,7 +205,7 @@ def best_fit(counts: np.ndarray, size: int) -> list[tuple[tuple[int, ...], int]]
     return [(content, many) for entries in by_free.values() for content, many in entries if content]
 
 
-def slots(plan: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:
+def slots(plan: Plan) -> dict[str, np.ndarray]:
     """The plan by length: from which number on pieces go to which sequences at which place."""
     rows, seen, sequence = [], defaultdict(int), 0
     for pattern, repeats in plan:

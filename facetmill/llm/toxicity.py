@@ -138,7 +138,8 @@ def suspicious(text: str) -> set[str]:
             if _TRIPLE.search(core):
                 found.add(core)
         elif any(map(str.isalpha, core)):
-            found.add(token.strip(".,;:?\"'()[]{}<>"))
+            # A sign at the end is a letter or a mark: both readings are tried.
+            found.update((core, token.strip(".,;:?\"'()[]{}<>")))
     if m := [m[0] for m in _SPACED.finditer(text)]:
         found.update(m)
     return found

@@ -97,7 +97,7 @@ def _rule(rules: tuple[tuple[str, str], ...]) -> Column:
     parts = [(rule, *rule.partition("/"), verdict) for rule, verdict in rules]
     table = F.array(
         *[F.struct(F.lit(len(r)).alias("size"), F.lit(r).alias("rule"), F.lit(h).alias("h"), F.lit(s + p).alias("p"), F.lit(v).alias("v")) for r, h, s, p, v in parts]
-    )
+    ).cast("array<struct<size:int,rule:string,h:string,p:string,v:string>>")
     fits = lambda r: ((F.col("host") == r["h"]) | F.endswith(F.col("host"), F.concat(F.lit("."), r["h"]))) & F.startswith(F.col("path"), r["p"])
     return F.array_max(F.filter(table, fits))
 
