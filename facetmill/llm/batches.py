@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,11 @@ def column(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that stands in the plan, and is computed, once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def others(df: DataFrame, names: Sequence[str]) -> list[str]:
     """Columns of ``df`` that no name of ``names`` replaces."""
     taken = {n.lower() for n in names}

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from facetmill.session import materialise
 
-from .batches import column, others
+from .batches import column, let, others
 
 # Cells of a sketch, and how many paragraphs one sketch is meant for.
 CELLS, LOAD = 36, 12
@@ -37,11 +37,6 @@ ADDED = ["digests", "fingerprint"]
 _KEYS = "array<struct<digest:bigint,side:int>>"
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def digests(text: Column) -> Column:
     """Different 64-bit digests of the text's paragraphs, sorted."""
     lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x != "")
@@ -79,7 +74,7 @@ def sketch(own: Column, third: Column) -> Column:
         return F.transform(F.sequence(third * p, third * (p + 1) - 1), lambda j: F.aggregate(F.filter(entries, lambda e: e[f"c{p}"] == j), empty, put))
 
     entries = F.transform(own, lambda d: _entry(d, F.lit(1), third))
-    return _let(entries, lambda e: F.concat(*[part(e, p) for p in range(3)]))
+    return let(entries, lambda e: F.concat(*[part(e, p) for p in range(3)]))
 
 
 def subtract(a: Column, b: Column) -> Column:
@@ -107,7 +102,7 @@ def peel(cells: Column, third: Column) -> Column:
             new = F.struct(F.transform(state["cells"], lambda c, j: without(c, j, gone)).alias("cells"), F.concat(state["keys"], found).alias("keys"))
             return F.when(F.size(gone) > 0, new).otherwise(state)
 
-        return _let(pure(state["cells"]), peeled)
+        return let(pure(state["cells"]), peeled)
 
     start = F.struct(cells.alias("cells"), F.array().cast(_KEYS).alias("keys"))
     done = lambda s: F.when(~F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["key"] != 0)), s["keys"])
@@ -134,11 +129,11 @@ def difference(a: Column, b: Column) -> Column:
     def all_classes(n: Column) -> Column:
         each = F.transform(
             F.sequence(F.lit(0), n - 1),
-            lambda k: _let(F.struct(_of_class(a, k, n).alias("x"), _of_class(b, k, n).alias("y")), lambda s: of_class(s["x"], s["y"])),
+            lambda k: let(F.struct(_of_class(a, k, n).alias("x"), _of_class(b, k, n).alias("y")), lambda s: of_class(s["x"], s["y"])),
         )
         return F.flatten(each)
 
-    return _let(n, all_classes)
+    return let(n, all_classes)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -156,7 +151,7 @@ def as_text(own: Column) -> Column:
         texts = F.transform(cells, lambda c: F.when(c["n"] == 0, F.lit("")).otherwise(F.concat_ws(".", c["n"], F.hex(c["key"]), F.hex(c["check"]))))
         return F.concat(n, F.lit(":"), F.array_join(texts, ","))
 
-    return _let(classes(own), shown)
+    return let(classes(own), shown)
 
 
 def fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import column, others
+from .batches import column, let, others
 
 # Base phrases and their labels.
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -163,19 +163,24 @@ def _aligned(words: Column, templates: tuple[Template, ...], idf: dict[str, floa
     weight = F.create_map(*[x for w in vocabulary for x in (F.lit(w), F.lit(idf[w]))])
     hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: F.array_contains(_strings(vocabulary), h["w"]))
 
-    def of_file(hits: Column) -> Column:
+    def rarest(hits: Column) -> Column:
         own = F.array_distinct(F.transform(hits, lambda h: h["w"]))
         ranked = F.array_sort(F.transform(own, lambda w: F.struct((-weight[w]).alias("r"), w.alias("w"))))
-        rare = F.transform(F.slice(ranked, 1, RARE_WORDS), lambda x: x["w"])
-        votes = F.flatten(
+        return F.transform(F.slice(ranked, 1, RARE_WORDS), lambda x: x["w"])
+
+    def voted(hits: Column, rare: Column) -> Column:
+        return F.flatten(
             F.transform(
                 F.filter(hits, lambda h: F.array_contains(rare, h["w"])),
                 lambda h: F.transform(postings[h["w"]], lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["p"]).alias("at"))),
             )
         )
+
+    def standing(rare: Column, votes: Column) -> Column:
         return F.array(*[_standing(words, rare, votes, k, t) for k, t in enumerate(templates)])
 
-    return F.filter(F.get(F.transform(F.array(hits), of_file), F.lit(0)), lambda x: x["coverage"] >= MIN_COVERAGE)
+    found = let(hits, lambda h: let(rarest(h), lambda rare: let(voted(h, rare), lambda votes: standing(rare, votes))))
+    return F.filter(found, lambda x: x["coverage"] >= MIN_COVERAGE)
 
 
 def _standing(words: Column, rare: Column, votes: Column, k: int, t: Template) -> Column:
@@ -202,7 +207,7 @@ def _standing(words: Column, rare: Column, votes: Column, k: int, t: Template) -
             F.when((b["best"] > 0) & keyed, b["best"] / F.greatest(possible, F.lit(1))).otherwise(F.lit(0.0)).alias("coverage"),
         )
 
-    return F.get(F.transform(F.array(best), judged), F.lit(0))
+    return let(best, judged)
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, keep: list[str] | None = None) -> DataFrame:
@@ -214,17 +219,13 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, keep: lis
     vocabulary = {w for t in templates for w in t.words}
     idf = {w: math.log((1 + total) / (1 + counts.get(w, 0))) for w in vocabulary}
     kept = others(docs.select(*map(column, docs.columns if keep is None else keep)), [*ADDED, "__w"])
-    low = lowered(F.col("text"))
-    anchored = F.lit(False)
-    for a in _anchors(templates):
-        anchored = anchored | F.contains(low, F.lit(a))
-    based = F.contains(low, F.lit("license"))
-    out = docs.select(*map(column, kept), words_of(F.col("text")).alias("__w"), based.alias("__based"), anchored.alias("__anchored"))
+    based = F.contains(lowered(F.col("text")), F.lit("license"))
+    out = docs.select(*map(column, kept), words_of(F.col("text")).alias("__w"), based.alias("__based"))
     out = out.select(
         *map(column, kept),
         F.size("__w").cast("long").alias("n_words"),
         F.when(F.col("__based"), _places(F.col("__w"), BASE_PHRASES)).otherwise(F.array().cast(_PLACES)).alias("base_places"),
-        F.when(F.col("__anchored"), _aligned(F.col("__w"), templates, idf)).otherwise(F.array().cast("array<struct<label:string,coverage:double>>")).alias("__found"),
+        F.when(F.arrays_overlap("__w", _strings(_anchors(templates))), _aligned(F.col("__w"), templates, idf)).otherwise(F.array().cast("array<struct<label:string,coverage:double>>")).alias("__found"),
     )
     labels = lambda c: F.transform(F.col(c), lambda x: x["label"])
     return out.select(
