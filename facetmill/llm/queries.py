@@ -57,7 +57,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(_remainder(3) != 1)
-    scorer = toxicity.learn(docs.join(labels, "doc_id"), toxicity.costs(toxicity.trigram_counts(docs)))
+    scorer = toxicity.learn(docs, labels, toxicity.costs(toxicity.trigram_counts(docs)))
     found = toxicity.score(docs, scorer, keep=["doc_id"])
     return found.select(
         "doc_id",

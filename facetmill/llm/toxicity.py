@@ -185,9 +185,9 @@ class Scorer:
         return max(found, default=self.share)
 
 
-def _sampled(labelled: DataFrame, sample_rows: int) -> tuple[DataFrame, dict[int, float]]:
+def _sampled(labels: DataFrame, sample_rows: int) -> tuple[DataFrame, dict[int, int]]:
     """At most ``sample_rows`` rows of each label (0, 1), and how many rows there are of each."""
-    rows = labelled.filter("toxic in (0, 1)")
+    rows = labels.filter("toxic in (0, 1) and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1e6
     wanted = F.lit(0.0)
@@ -197,12 +197,13 @@ def _sampled(labelled: DataFrame, sample_rows: int) -> tuple[DataFrame, dict[int
     return rows.filter(draw < wanted), counts
 
 
-def learn(labelled: DataFrame, cost: list[list[list[float]]], sample_rows: int = SAMPLE_ROWS) -> Scorer:
-    """A scorer from ``labelled`` (doc_id, text, toxic): words first, then beginnings of all other words."""
-    sample, totals = _sampled(labelled, sample_rows)
+def learn(docs: DataFrame, labels: DataFrame, cost: list[list[list[float]]], sample_rows: int = SAMPLE_ROWS) -> Scorer:
+    """A scorer from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic): words first, then beginnings of all other words."""
+    drawn, totals = _sampled(labels, sample_rows)
     if not totals.get(1):
         return Scorer(cost)
-    sample = materialise(sample.select("text", F.col("toxic").cast("int").alias("toxic")), "toxicity-sample")
+    # The draw has a bounded number of short rows, so it is sent to the texts.
+    sample = materialise(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "toxic"), "toxicity-sample")
     share = totals[1] / (totals[1] + totals.get(0, 0))
     by_word = _weights(sample, Scorer(cost), totals, share, starts=False)
     # A beginning must not live off words that are known already.

@@ -128,7 +128,7 @@ def test_packing_of_odd_texts(spark, docs, empty):
 def test_training_without_rows(spark, empty):
     field = langid.train(empty.select("doc_id", "text", "lang"))
     assert field.labels == []
-    scorer = toxicity.learn(empty.select("doc_id", "text", F.lit(1).alias("toxic")), _cost())
+    scorer = toxicity.learn(empty, empty.select("doc_id", F.lit(1).alias("toxic")), _cost())
     assert scorer.score("anything") == 0.0
     counts, total = licenses.word_counts(empty)
     assert (counts, total) == ({}, 0)

@@ -103,7 +103,7 @@ def test_toxic_words_are_learned(spark):
         r.shuffle(w)
         rows.append((i, " ".join(w), int(toxic)))
     labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    scorer = toxicity.learn(labelled, toxicity.costs(toxicity.trigram_counts(labelled)))
+    scorer = toxicity.learn(labelled, labelled, toxicity.costs(toxicity.trigram_counts(labelled)))
     scores = [(scorer.score(t), y) for _, t, y in rows]
     assert min(s for s, y in scores if y) >= 0.7 > max(s for s, y in scores if not y)
 
