@@ -6,20 +6,22 @@ pairs that share retained values come. A pair is estimated on the bottom-k of th
 union of its two sketches, and confirmed on the full sets.
 
 * Documents with equal sets are one class before anything is paired.
-* Two sets over the threshold share ``SHARED`` of their ``LISTED`` smallest values
-  but for a chance below 1e-5 a pair at the threshold itself, far below above it.
-  Each document therefore goes only into the lists of its rarest values.
-* A list of at most ``LIST_ROWS`` documents gives its pairs. A longer one gives
+* Two sets at the threshold share ``SHARED`` of their ``LISTED`` smallest values but
+  for a chance below 1e-5, more similar ones far more surely. Each document
+  therefore goes only into the lists of its rarest values.
+* A list of at most ``LIST_ROWS`` documents gives all its pairs. A longer one gives
   stars: each document is paired with one leader, drawn anew for each list and
   round, within a band of set sizes. Only documents most of whose values are in
-  long lists can meet nowhere else, and only they take part. After each round
-  links are joined to components; lists whose documents are all in one component
-  are done. What is left after ``STAR_ROUNDS`` is compared across components, so
-  no link is lost however long a list is.
-* Only links that join components matter: pairs already connected are not verified.
+  long lists can meet nowhere else, and only they take part.
+* Links become components; what is already connected is not compared again. Two
+  rounds of stars join nearly all of a large group. Last, documents that take part
+  are compared across components wherever they share one of their ``KEYED``
+  smallest values and enough of the others, so no list is too long.
+* A pair that joins nothing new is never verified: first comes the best partner of
+  each document, then whatever is still open.
 
-Nothing is collected to the driver but counts. Intermediate tables are written to
-the shared scratch folder.
+Nothing is collected to the driver but counts and a filter of fixed size. Tables
+between the steps are written to the shared scratch folder.
 
 Defined cases: texts without words, empty and null texts have an empty set and are
 linked with nothing; a row without doc_id has no component and is kept; repeated
@@ -40,13 +42,14 @@ from pyspark.sql import types as T
 from facetmill.session import materialise
 
 from .batches import SPACED, Words, add_columns, column, mix, set_aside, slices
-from .components import connect
+from .components import extend
 
 WORDS = 5
 PERCENT = 80
-SKETCH, LISTED, SHARED = 64, 32, 14
+SKETCH, LISTED, SHARED, KEYED = 64, 32, 15, 10
 LIST_ROWS = 24
-STAR_ROUNDS = 3
+# Bits of the filter of documents whose full sets are wanted, for each of them and at most.
+FILTER_BITS, FILTER_MOST = 16, 1 << 28
 # Standard errors by which an estimate may fall short of the threshold.
 SLACK = 4.5
 
@@ -118,7 +121,7 @@ def _lists(reps: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc").take(take), batch.column("n").take(take), pa.array(value)], ["doc", "n", "value"])
 
     entries = reps.select("doc", "n", "sketch").mapInArrow(explode, T.StructType([reps.schema["doc"], T.StructField("n", T.LongType()), T.StructField("value", T.LongType())]))
-    entries = materialise(entries, "sketch-values")
+    entries = entries.repartition("value")  # dealt once, for both uses
     shared = entries.groupBy("value").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     met = entries.join(shared, "value")
     # Per document at most LISTED entries: where all SHARED of them must be shared, the rarest suffice.
@@ -161,11 +164,42 @@ def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "sa", "sb").mapInArrow(estimate, schema).filter(F.col("estimate") >= least)
 
 
+def _wanted(pairs: DataFrame) -> tuple[int, np.ndarray]:
+    """A filter of the documents of the pairs: bits by hash, a bounded number of them. It may let others through."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    n = pairs.count()
+    bits = 1 << min(max(16, (2 * FILTER_BITS * n).bit_length()), FILTER_MOST.bit_length() - 1)
+    place = F.pmod(F.xxhash64("id"), F.lit(bits))
+    words = ids.select((place / 64).cast("long").alias("word"), (place % 64).cast("int").alias("bit"))
+    words = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    table = np.zeros(bits // 64, np.int64)
+    got = words.toArrow()
+    table[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    return bits, table
+
+
+def _sets_of(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """Full sets of the documents of the pairs; texts of all others are passed over where they are read."""
+    bits, table = _wanted(pairs)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    placed = docs.filter("doc_id is not null").select("doc_id", "text", place.alias("place"))
+    schema = T.StructType([docs.schema["doc_id"], *_SETS.fields])
+
+    def work(batches):
+        for batch in batches:
+            at = batch.column("place").to_numpy()
+            wanted = (shared.value[at >> 6] >> (at & 63)) & 1
+            for part in slices(batch.filter(pa.array(wanted.astype(bool))), "text"):
+                sets = pa.array([s.tobytes() for s in _sets(part.column("text"), words)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), sets], schema.names)
+
+    return placed.mapInArrow(work, schema).dropDuplicates(["doc_id"])
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    sets = materialise(shingle_sets(texts, words).dropDuplicates(["doc_id"]), "shingle-sets")
+    sets = materialise(_sets_of(pairs, docs, words), "shingle-sets")
     side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s{c}"))
     joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
     schema = T.StructType([joined.schema["a"], joined.schema["b"]])
@@ -184,15 +218,72 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return joined.select("a", "b", "sa", "sb").mapInArrow(verify, schema)
 
 
-def _open(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _open(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose ends are not yet in one component."""
-    if labels is None:
-        return pairs
     side = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
     joined = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
     return joined.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb")
 
 
+def _banded(rows: DataFrame, percent: int) -> DataFrame:
+    """``rows`` once in the band of their size and once in the next: sizes that may match share a band."""
+    own = F.floor(F.log(F.col("n").cast("double")) / -math.log(percent / 100)).cast("long")
+    return rows.withColumn("own_band", own).withColumn("band", F.explode(F.array("own_band", F.col("own_band") + 1)))
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+
+
+def _unjoined(rows: DataFrame) -> DataFrame:
+    """``rows`` (labelled) of lists that hold more than one component."""
+    several = rows.groupBy("value", "band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
+    return rows.join(several.select("value", "band"), ["value", "band"], "left_semi")
+
+
+def _ordered(met: DataFrame) -> DataFrame:
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _starred(rows: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of each document of a list with the list's leader, a document of another component."""
+    draw = F.struct(F.xxhash64(F.lit(turn), "value", "band", "component"), F.xxhash64(F.lit(turn), "doc"), F.col("doc"))
+    leaders = rows.groupBy("value", "band").agg(F.min_by(F.struct("doc", "n", "component"), draw).alias("lead"))
+    met = rows.join(leaders, ["value", "band"]).filter(F.col("component") != F.col("lead.component"))
+    met = met.select(F.col("doc").alias("x"), F.col("n").alias("na"), F.col("lead.doc").alias("y"), F.col("lead.n").alias("nb"))
+    return _ordered(met.filter(_near(percent)))
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components of a list that share at least SHARED of LISTED values.
+
+    A pair of documents meets in several lists; it comes from the first one alone.
+    """
+    side = lambda c: rows.select("value", "band", *[F.col(k).alias(f"{k}_{c}") for k in ("doc", "n", "component", "own_band", "top")])
+    size = F.least(F.least("n_x", "n_y"), F.lit(LISTED))
+    met = side("x").join(side("y"), ["value", "band"]).filter(
+        (F.col("doc_x") < F.col("doc_y"))
+        & (F.col("component_x") != F.col("component_y"))
+        & (F.col("band") == F.greatest("own_band_x", "own_band_y"))
+        & _near(percent, "n_x", "n_y")
+        & (F.col("value") == F.array_min(F.array_intersect("top_x", "top_y")))
+        & (F.size(F.array_intersect("top_x", "top_y")) >= F.floor(size * SHARED / LISTED))
+    )
+    return met.select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b"))
+
+
+def _tops(reps: DataFrame) -> DataFrame:
+    """doc, n and its LISTED smallest values as an array."""
+    schema = T.StructType([reps.schema["doc"], T.StructField("n", T.LongType()), T.StructField("top", T.ArrayType(T.LongType()))])
+
+    def work(batches):
+        for batch in batches:
+            tops = [np.frombuffer(s, "<u4")[:LISTED].tolist() for s in batch.column("sketch").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("n"), pa.array(tops, pa.list_(pa.int64()))], schema.names)
+
+    return reps.select("doc", "n", "sketch").mapInArrow(work, schema)
+
+
 def near_duplicate_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``docs`` (doc_id, text).
 
@@ -201,62 +292,40 @@ def near_duplicate_classes(docs: DataFrame, words: int = WORDS, percent: int = P
     """
     known = materialise(sketches(docs, words), "sketches")
     filled = known.filter("n_shingles > 0 and doc_id is not null")
-    classes = materialise(
-        filled.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes"
+    classes = filled.groupBy("digest").agg(
+        F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies")
     )
+    classes = materialise(classes, "classes")
     reps = classes.select("doc", "n", "sketch")
     lists = materialise(_lists(reps), "lists")
-    state = {"edges": None, "labels": None}
-
-    def link(pairs: DataFrame) -> None:
-        found = materialise(_verified(pairs, docs, words, percent), "links")
-        state["edges"] = found if state["edges"] is None else state["edges"].unionByName(found)
-        state["labels"] = materialise(connect(state["edges"]), "components")
-
-    side = lambda df, c: df.select("value", F.col("doc").alias(c), F.col("n").alias(f"n{c}"))
-    short = lists.filter(F.col("rows") <= LIST_ROWS)
-    pairs = side(short, "a").join(side(short, "b"), "value").filter((F.col("a") < F.col("b")) & _near(percent))
-    pairs = materialise(_estimated(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")), reps, percent), "estimates")
-    # A first wave with the best partner of each document joins most; the rest is verified only where it still matters.
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a")).select("a", "b")
-    link(best)
-    link(_open(pairs, state["labels"]))
-
-    # Long lists: documents nearly all of whose values are in them.
-    band = F.floor(F.log(F.col("n").cast("double")) / -math.log(percent / 100)).cast("long")
+
+    side = lambda c: lists.filter(F.col("rows") <= LIST_ROWS).select("value", F.col("doc").alias(c), F.col("n").alias(f"n{c}"))
+    short = side("a").join(side("b"), "value").filter((F.col("a") < F.col("b")) & _near(percent)).select("a", "b").distinct()
     dense = lists.filter((F.col("rows") > LIST_ROWS) & (F.col("hot") >= SHARED / LISTED))
-    dense = dense.withColumn("band", F.explode(F.array(band, band + 1))).select("value", "band", "doc", "n")
-    dense = materialise(dense, "dense-lists")
-    for turn in range(STAR_ROUNDS + 1):
-        if not (left := _unjoined(dense, state["labels"])).take(1):
-            break
-        entries = dense.join(left, ["value", "band"], "left_semi").join(state["labels"].withColumnRenamed("node", "doc"), "doc", "left")
-        entries = materialise(entries.withColumn("component", F.coalesce("component", "doc")), "open-lists")
-        key = ["value", "band"]
-        if turn < STAR_ROUNDS:
-            # One leader for each list, from a component drawn at random: large and small ones get their turn.
-            draw = F.struct(F.xxhash64(F.lit(turn), "value", "band", "component" if turn % 2 else "doc"), F.col("doc"))
-            leaders = entries.groupBy(key).agg(F.min_by(F.struct("doc", "n", "component"), draw).alias("lead"))
-            met = entries.join(leaders, key).filter(F.col("component") != F.col("lead.component"))
-            met = met.select("doc", "n", F.col("lead.doc").alias("other"), F.col("lead.n").alias("m"))
-        else:
-            x, y = (entries.select(*key, F.col("doc").alias(d), F.col("n").alias(m), F.col("component").alias(c)) for d, m, c in (("doc", "n", "c1"), ("other", "m", "c2")))
-            met = x.join(y, key).filter((F.col("doc") < F.col("other")) & (F.col("c1") != F.col("c2")))
-        met = met.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b"), F.when(F.col("doc") < F.col("other"), F.col("n")).otherwise(F.col("m")).alias("na"), F.when(F.col("doc") < F.col("other"), F.col("m")).otherwise(F.col("n")).alias("nb"))
-        met = met.filter(_near(percent)).select("a", "b").distinct()
-        link(materialise(_estimated(met, reps, percent), "estimates"))
-
-    of_class = classes.select("digest", "doc").join(state["labels"].withColumnRenamed("node", "doc"), "doc", "left").select("digest", F.coalesce("component", "doc").alias("component"))
-    # Only classes that differ from their one document are sent on: all others label themselves.
-    told = filled.groupBy("digest").agg(F.count(F.lit(1)).alias("rows")).join(of_class, "digest").join(classes.select("digest", "doc"), "digest").filter((F.col("rows") > 1) | (F.col("component") != F.col("doc"))).select("digest", "component")
-    out = known.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(told, "digest", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-
-
-def _unjoined(dense: DataFrame, labels: DataFrame) -> DataFrame:
-    """Long lists that hold more than one component."""
-    known = dense.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    return known.groupBy("value", "band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("value", "band")
+    dense = materialise(_banded(dense.select("value", "doc", "n"), percent), "dense-lists")
+    first = _starred(dense.withColumn("component", F.col("doc")), 0, percent)
+    pairs = materialise(_estimated(short.unionByName(first), reps, percent), "estimates")
+
+    # The best partner of each document joins most; the rest is verified only where it still matters.
+    best = materialise(pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a")).select("a", "b"), "best-pairs")
+    labels = extend(None, _verified(best, docs, words, percent))
+    again = _estimated(_starred(_unjoined(_labelled(dense, labels)), 1, percent), reps, percent)
+    rest = materialise(_open(pairs.select("a", "b"), labels).unionByName(again.select("a", "b")).distinct(), "open-pairs")
+    labels = extend(labels, _verified(rest, docs, words, percent))
+
+    # Across components: every document that may meet others in long lists only.
+    keyed = _tops(reps.join(dense.select("doc").distinct(), "doc", "left_semi"))
+    keyed = keyed.withColumn("value", F.explode(F.slice("top", 1, KEYED)))
+    keyed = materialise(_unjoined(_labelled(_banded(keyed, percent), labels)), "keyed-lists")
+    last = materialise(_estimated(_across(keyed, percent), reps, percent).select("a", "b"), "last-pairs")
+    labels = extend(labels, _verified(last, docs, words, percent))
+
+    # Only documents that are not their own component are told so.
+    told = classes.select("digest", "doc", "copies").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+    told = told.select("digest", F.coalesce("component", "doc").alias("component"), "doc", "copies").filter((F.col("copies") > 1) | (F.col("component") != F.col("doc")))
+    joined = known.withColumn("digest", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("digest"))).join(told.select("digest", "component"), "digest", "left")
+    out = joined.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def drop_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
