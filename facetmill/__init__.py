@@ -2,12 +2,14 @@
 
 from .operators import gold_transform, select_faces, silver_transform
 from .plans import (
+    IncompleteLoadError,
     TrainingConfig,
     Workspace,
     bronze_job,
     gold_job,
     predict_df,
     predict_job,
+    read_load_status,
     silver_job,
     train_job,
     train_model,
@@ -16,6 +18,7 @@ from .plans import (
 from .sources import ZoneStore, flatten_pages
 
 __all__ = [
+    "IncompleteLoadError",
     "TrainingConfig",
     "Workspace",
     "ZoneStore",
@@ -25,6 +28,7 @@ __all__ = [
     "gold_transform",
     "predict_df",
     "predict_job",
+    "read_load_status",
     "select_faces",
     "silver_job",
     "silver_transform",

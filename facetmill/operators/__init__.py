@@ -22,6 +22,7 @@ from .gold import (
 from .joins import full_outer_using, select_or_null
 from .model import (
     confusion_counts,
+    each_text,
     evaluate,
     fit_classifier,
     log_loss,
@@ -36,6 +37,7 @@ __all__ = [
     "build_vocabulary",
     "confusion_counts",
     "distinct_faces",
+    "each_text",
     "encode_tokens",
     "encoded_training_set",
     "evaluate",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from ..schemas import FACE_PATHS, face_columns, field_or_null, has_field
-from .joins import full_outer_using
+from .joins import full_outer_using, select_or_null
 
 ONLY_FACE = "0"
 
@@ -84,12 +84,23 @@ def union_faces(mode: str, bronze: DataFrame) -> DataFrame:
 
 
 def join_faces(mode: str, bronze: DataFrame) -> DataFrame:
-    """Both kinds by full outer join on all columns.
+    """Both kinds by full outer join on the columns that both really have.
 
-    Differs from the union only where a card and a face agree in every column
-    and none of them is null: those two rows become one.
+    A field that cards or faces lack takes no part in the join; where both lack
+    it, it is added as a typed null afterwards. Differs from the union only
+    where a card and a face agree in every shared column and none of them is
+    null: those two rows become one.
     """
-    return full_outer_using(single_faces(mode, bronze), multi_faces(mode, bronze))
+    face = _face_type(bronze)
+    single, multi = single_faces(mode, bronze), multi_faces(mode, bronze)
+    if face is None:
+        return single
+    paths = {name: FACE_PATHS.get(name, name) for name in face_columns(mode)}
+    of_card = [name for name, path in paths.items() if not has_field(bronze.schema, path)]
+    of_face = [name for name, path in paths.items() if not has_field(face, path)]
+    # Prices come from the card on both sides.
+    joined = full_outer_using(single.drop(*of_card), multi.drop(*of_face))
+    return select_or_null(joined, single.columns)
 
 
 def select_faces(mode: str, bronze: DataFrame) -> DataFrame:

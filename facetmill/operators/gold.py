@@ -31,9 +31,14 @@ def pivot_faces(mode: str, silver: DataFrame, order_by: Sequence[str] = ()) -> D
     """One row per ``oracle_id``: face 0 as is, face 1 with prefix ``second_``.
 
     Where several rows share item and face, the first by ``order_by`` and then
-    by value is taken. The two face numbers are fixed, so no job has to
-    discover them, and a hot item reduces map-side.
+    by value is taken. The two face numbers are fixed, and a hot item reduces
+    map-side. Rows of any other number fail the job that reads the result: they
+    have no columns to go to.
     """
+    number = F.col("card_face_number")
+    message = F.concat(F.lit("no columns for face number "), F.coalesce(number, F.lit("null")))
+    checked = F.when(number.isin("0", "1"), number).otherwise(F.raise_error(message))
+    silver = silver.withColumn("card_face_number", checked)
     targets = gold_targets(mode)
     columns = [*targets, "price"]
     ranked = F.struct(
@@ -75,12 +80,13 @@ def gold_transform(
 
     With ``widen="auto"`` the whole input decides: exactly two face numbers
     pivot, anything else is padded row by row. That test reads one column and
-    fetches at most three values. ``pivot`` and ``pad`` skip it.
+    fetches at most three values. ``pivot`` and ``pad`` skip it. Two numbers
+    other than 0 and 1 are an error.
     """
     if widen == "auto":
         numbers = [row[0] for row in distinct_faces(silver).limit(3).collect()]
-        if len(numbers) == 2 and "0" not in numbers:
-            raise ValueError(f"two face numbers but no face 0: {numbers}")
+        if len(numbers) == 2 and set(numbers) != {"0", "1"}:
+            raise ValueError(f"two face numbers, but not 0 and 1: {sorted(map(str, numbers))}")
         widen = "pivot" if len(numbers) == 2 else "pad"
     if widen == "pivot":
         gold = pivot_faces(mode, silver, order_by)

@@ -21,9 +21,10 @@ def full_outer_using(left: DataFrame, right: DataFrame) -> DataFrame:
     """Full outer equi-join on every column both sides have.
 
     A full outer join cannot be split when one key is hot, so it is written as
-    inner join plus the unmatched rows of each side: adaptive execution splits
-    a hot key in all three. Rows with a null key match nothing and skip the
-    shuffle.
+    inner join plus the unmatched rows of each side. Adaptive execution splits
+    a hot key on either side of the inner join and on the left of the others;
+    their right sides are different keys, which reduce map-side to one row
+    each. Rows with a null key match nothing and skip the shuffle.
     """
     keys = [c for c in left.columns if c in right.columns]
     if not keys:
@@ -32,8 +33,8 @@ def full_outer_using(left: DataFrame, right: DataFrame) -> DataFrame:
     left_known, right_known = left.filter(known), right.filter(known)
     parts = [
         left_known.join(right_known, keys),
-        left_known.join(right_known.select(keys), keys, "left_anti"),
-        right_known.join(left_known.select(keys), keys, "left_anti"),
+        left_known.join(right_known.select(keys).distinct(), keys, "left_anti"),
+        right_known.join(left_known.select(keys).distinct(), keys, "left_anti"),
         left.filter(~known),
         right.filter(~known),
     ]

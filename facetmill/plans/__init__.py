@@ -1,12 +1,14 @@
 """Jobs that chain the steps through the zones."""
 
 from .jobs import (
+    IncompleteLoadError,
     TrainingConfig,
     Workspace,
     bronze_job,
     gold_job,
     predict_df,
     predict_job,
+    read_load_status,
     silver_job,
     train_job,
     train_model,
@@ -14,12 +16,14 @@ from .jobs import (
 )
 
 __all__ = [
+    "IncompleteLoadError",
     "TrainingConfig",
     "Workspace",
     "bronze_job",
     "gold_job",
     "predict_df",
     "predict_job",
+    "read_load_status",
     "silver_job",
     "train_job",
     "train_model",

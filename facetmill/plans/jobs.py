@@ -30,6 +30,7 @@ from ..operators import (
     with_row_text,
 )
 from ..operators.model import Scorer
+from ..session import scratch
 from ..sources import (
     ZoneStore,
     append_model_run,
@@ -37,8 +38,10 @@ from ..sources import (
     current_run,
     flatten_pages,
     latest_model_runs,
+    load_status,
     new_run,
     read_model_runs,
+    record_path,
     write_results_table,
 )
 
@@ -62,10 +65,13 @@ class Workspace:
     def current_run(self) -> str:
         return current_run(self.spark, self.root_dir, self.mode)
 
+    def status_path(self, identifier: str) -> str:
+        return record_path(self.root_dir, "load_status", self.mode, identifier)
+
 
 @dataclass(frozen=True)
 class TrainingConfig:
-    model_name: str = "text price range classifier"
+    model_name: str = "prices"
     experiment_path: str = "/experiments"
     test_size: float = 0.2
     num_features: int = 1 << 18
@@ -85,27 +91,57 @@ class TrainingConfig:
         return cls(**{key: value for key, value in config.items() if key in known})
 
 
+class IncompleteLoadError(RuntimeError):
+    """Some requests did not end with a page that says nothing follows."""
+
+
 def bronze_job(
-    work: Workspace, pages: DataFrame, as_of: date | None = None, now: datetime | None = None, **cohort_options
+    work: Workspace,
+    pages: DataFrame,
+    as_of: date | None = None,
+    now: datetime | None = None,
+    require_complete: bool = False,
+    **cohort_options,
 ) -> str:
-    """Start a run: flatten landed pages, keep the mode's cohort, write bronze."""
+    """Start a run: flatten landed pages, keep the mode's cohort, write bronze and how each request ended.
+
+    The status table is written first (see :func:`read_load_status`). With
+    ``require_complete`` a request that ended in an error, with an unusable page
+    or not at all fails the job before bronze is written.
+    """
     identifier = work.new_run(now)
-    records = flatten_pages(pages).drop("request_id", "page_no")
-    work.zones.write(records.filter(cohort(work.mode, as_of, **cohort_options)), "bronze", identifier)
+    with scratch(work.spark):
+        load_status(pages).write.mode("overwrite").parquet(work.status_path(identifier))
+        if require_complete:
+            broken = read_load_status(work, identifier).filter(
+                (F.col("status") != "complete") | (F.col("unnumbered_pages") > 0)
+            )
+            if example := broken.first():
+                raise IncompleteLoadError(f"{broken.count()} requests are incomplete, such as {example.asDict()}")
+        records = flatten_pages(pages).drop("request_id", "page_no")
+        work.zones.write(records.filter(cohort(work.mode, as_of, **cohort_options)), "bronze", identifier)
     return identifier
 
 
-def silver_job(work: Workspace, **options) -> str:
+def read_load_status(work: Workspace, identifier: str | None = None) -> DataFrame:
+    """How each request of a run ended, with its pages; the current run by default."""
+    return work.spark.read.parquet(work.status_path(identifier or work.current_run()))
+
+
+def silver_job(work: Workspace, infer: bool = False, **options) -> str:
+    """``infer`` takes bronze as it is stored: fields it lacks become nulls."""
     identifier = work.current_run()
-    bronze = work.zones.read("bronze", identifier)
-    work.zones.write(silver_transform(work.mode, bronze, **options), "silver", identifier)
+    bronze = work.zones.read("bronze", identifier, infer)
+    with scratch(work.spark):
+        work.zones.write(silver_transform(work.mode, bronze, **options), "silver", identifier)
     return identifier
 
 
 def gold_job(work: Workspace, **options) -> str:
     identifier = work.current_run()
     silver = work.zones.read("silver", identifier)
-    work.zones.write(gold_transform(work.mode, silver, **options), "gold", identifier)
+    with scratch(work.spark):
+        work.zones.write(gold_transform(work.mode, silver, **options), "gold", identifier)
     return identifier
 
 
@@ -178,7 +214,7 @@ def write_predict_results(
     path: str | None = None,
     scorer: Callable[[], Scorer] | None = None,
 ) -> None:
-    """Score ``gold`` and overwrite the results table."""
+    """Score ``gold`` and replace the results table."""
     write_results_table(select_results(predict_df(gold, config, root_dir, scorer)), table, fmt, path)
 
 

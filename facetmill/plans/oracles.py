@@ -143,8 +143,7 @@ words AS (
 ),
 vocabulary AS (
   SELECT token, n, CAST(row_number() OVER (ORDER BY n DESC, token) + 1 AS INTEGER) AS token_id
-  FROM (SELECT token, count(*) AS n FROM words WHERE length(token) <= 100 GROUP BY token)
-  QUALIFY row_number() OVER (ORDER BY n DESC, token) <= 30522
+  FROM (SELECT token, count(*) AS n FROM words GROUP BY token)
 )"""
 
 
@@ -217,6 +216,12 @@ silver AS (
   FROM conversations
 )"""
 
+# Two turns in a row as the faces of an item.
+_PAIRED_TURNS = _CONVERSATION_FACES.replace(
+    "CAST(conv_id AS VARCHAR) AS oracle_id, CAST(turn AS VARCHAR) AS card_face_number",
+    "conv_id || '-' || turn // 2 AS oracle_id, CAST(turn % 2 AS VARCHAR) AS card_face_number",
+)
+
 _JOINED_STATUS = """
   SELECT card, status, o_totalprice, l_suppkey, l_linenumber
   FROM (SELECT o_orderkey AS card, o_orderstatus AS status, o_totalprice FROM orders)
@@ -284,11 +289,15 @@ ORACLE_SQL: dict[str, str] = {
     + " FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, "
     + ", ".join(_LINE_VALUES)
     + ") AS rn FROM lineitem) WHERE rn = 1",
-    "pivot_faces": f"{_with(_CONVERSATION_FACES)} {_pivot('train')}",
+    "pivot_faces": f"{_with(_PAIRED_TURNS)} {_pivot('train')}",
+    "gold_auto_pivot": f"{_with(_PAIRED_TURNS)}, wide AS ({_pivot('train')}) {_filled('train')}",
+    "gold_auto_pad": f"{_with(_CONVERSATION_FACES)}, wide AS (SELECT oracle_id, {', '.join(_TARGETS)}, "
+    + ", ".join(f"CAST(NULL AS VARCHAR) AS second_{c}" for c in _TARGETS)
+    + f", price FROM silver) {_filled('train')}",
     "pad_second_face": f"{_with(_CONVERSATION_FACES)} SELECT oracle_id, {', '.join(_TARGETS)}, "
     + ", ".join(f"CAST(NULL AS VARCHAR) AS second_{c}" for c in _TARGETS)
     + ", price FROM silver",
-    "null_token": f"{_with(_CONVERSATION_FACES)}, wide AS ({_pivot('train')}) {_filled('train')}",
+    "null_token": f"{_with(_PAIRED_TURNS)}, wide AS ({_pivot('train')}) {_filled('train')}",
     # scalar functions
     "strip_newlines": "SELECT doc_id, replace(text, chr(10), ' ') AS text FROM documents",
     "strip_parenthetical": f"SELECT doc_id, {_clean('text')} AS text FROM documents",
@@ -308,6 +317,12 @@ ORACLE_SQL: dict[str, str] = {
     "SELECT doc_id, trim(coalesce(ids, '') || repeat(' 0', greatest(194 - coalesce(n, 0), 0))) AS input_ids, "
     "trim(repeat('1 ', coalesce(n, 0)) || repeat('0 ', greatest(194 - coalesce(n, 0), 0))) AS attention_mask "
     "FROM documents LEFT JOIN ids USING (doc_id)",
+    "encoded_training": f"{_gold_ctes('train')}, texts AS (SELECT row_number() OVER () AS doc_id, {_ROW_TEXT} AS text, "
+    f"{_BUCKET} AS label FROM gold), {_TOKENS.replace('FROM documents', 'FROM texts')}, "
+    "ids AS (SELECT doc_id, count(*) AS n, string_agg(CAST(token_id AS VARCHAR), ' ' ORDER BY pos) AS ids "
+    "FROM words JOIN vocabulary USING (token) GROUP BY doc_id) "
+    "SELECT ids || repeat(' 0', greatest(32 - n, 0)) AS input_ids, "
+    "trim(repeat('1 ', n) || repeat('0 ', greatest(32 - n, 0))) AS attention_mask, label FROM ids JOIN texts USING (doc_id)",
     "hash_split": "SELECT event_id, CASE WHEN substring(md5(CAST(event_id AS VARCHAR)), 1, 8) < '33333333' "
     "THEN 'test' ELSE 'train' END AS part FROM events",
     "eval_log_loss": f"{_with(_DOCUMENT_LABELS)} SELECT round(avg(-ln(CASE WHEN label = 1 THEN probability "
@@ -316,8 +331,8 @@ ORACLE_SQL: dict[str, str] = {
     "count(*) AS n FROM judged GROUP BY 1, 2",
     "udf_scorer": f"{_with(_SCORED)} SELECT doc_id, label, score FROM scored",
     "result_projection": f"{_gold_ctes('predict')} SELECT oracle_id, name, image_link, "
-    "CASE WHEN length(oracle_text) >= 20 THEN 'Above_3' ELSE 'Below_3' END AS label, "
-    "CASE WHEN length(oracle_text) >= 20 THEN '0.75' ELSE '0.5' END AS score, price FROM gold",
+    f"CASE WHEN length({_ROW_TEXT}) >= 110 THEN 'Above_3' ELSE 'Below_3' END AS label, "
+    f"CASE WHEN length({_ROW_TEXT}) >= 110 THEN '0.75' ELSE '0.5' END AS score, price FROM gold",
     # jobs
     "e2e_bronze": f"{_with(_RECORDS, _RECORD_PAGES, _page_ends('pages_in'))} SELECT {_FLAT_RECORD} "
     "FROM pages_in JOIN ends USING (request_id) "
@@ -328,3 +343,37 @@ ORACLE_SQL: dict[str, str] = {
     "e2e_gold_predict": f"{_TO_SILVER}, wide AS ({_pivot('predict')}) {_filled('predict')}",
 }
 ORACLE_SQL["e2e_gold_text"] = ORACLE_SQL["e2e_gold"]
+ORACLE_SQL["e2e_predict_scorer"] = ORACLE_SQL["result_projection"]
+
+_ENDED = f"{_with(_RECORDS, _RECORD_PAGES, _page_ends('pages_in'))}"
+ORACLE_SQL["bronze_status"] = f"""{_ENDED},
+  counts AS (SELECT request_id, count(*) AS pages, count_if(page_no IS NULL) AS unnumbered_pages FROM pages_in GROUP BY request_id),
+  stops AS (
+    SELECT request_id, page_no, min(CASE WHEN object = 'error' THEN 'error' WHEN NOT has_data THEN 'invalid' ELSE 'z' END) AS why
+    FROM pages_in WHERE object = 'error' OR NOT has_data OR NOT has_more GROUP BY request_id, page_no)
+  SELECT ends.request_id, CASE WHEN stop_page IS NULL THEN 'open' WHEN why = 'z' THEN 'complete' ELSE why END AS status,
+    last_page, pages, CAST(unnumbered_pages AS BIGINT) AS unnumbered_pages
+  FROM ends JOIN counts USING (request_id)
+  LEFT JOIN stops ON ends.request_id = stops.request_id AND stops.page_no = stop_page"""
+# Without an array of faces every record has one row, with what the record itself carries.
+_BARE = [c for c in _STATS if c != "loyalty"]
+ORACLE_SQL["e2e_silver_inferred"] = f"""{_with(_RECORDS)},
+  faces AS (SELECT oracle_id, '0' AS card_face_number, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS image_link,
+    {', '.join(f'CASE WHEN NOT two_faced THEN front_{c} END AS {c}' for c in _BARE)}, CAST(NULL AS VARCHAR) AS loyalty, usd, usd_foil FROM records),
+  {_SILVER_RAW}, {_SILVER} SELECT oracle_id, card_face_number, {', '.join(_TARGETS)}, price FROM silver"""
+
+# Labelled gold rows in the part that the reproducible split leaves for testing.
+_HELD_OUT = f"""{_gold_ctes('train')},
+  labelled AS (SELECT oracle_id, {_ROW_TEXT} AS gameplay_text, {_BUCKET} AS price FROM gold),
+  held_out AS (SELECT * FROM labelled
+    WHERE substring(md5(oracle_id || chr(31) || gameplay_text || chr(31) || price), 1, 8) < '33333333')"""
+ORACLE_SQL["e2e_train"] = f"""{_HELD_OUT}
+  SELECT '/experiments/prices' AS experiment, count(*) AS eval_rows, CAST(count_if(price = 0) AS BIGINT) AS eval_true_0,
+    CAST(count_if(price = 1) AS BIGINT) AS eval_true_1, true AS loss_is_finite, true AS accuracy_is_share_of_right FROM held_out"""
+ORACLE_SQL["run_log"] = """
+  SELECT '/experiments/prices' AS experiment,
+    'max_iter=10;model=logistic regression on hashed words;model_name=prices;num_features=16384;reg_param=0.01;test_size=0.2' AS params,
+    'eval_accuracy;eval_loss;eval_rows;eval_true_0_predicted_0;eval_true_0_predicted_1;eval_true_1_predicted_0;eval_true_1_predicted_1'
+      AS metric_names, true AS model_is_kept"""
+ORACLE_SQL["e2e_predict"] = f"""{_gold_ctes('predict')}
+  SELECT oracle_id, name, image_link, price, true AS label_is_known, true AS score_is_of_chosen_class FROM gold"""

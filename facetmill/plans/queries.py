@@ -11,9 +11,20 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from .. import operators as op
 from .. import sources as src
-from ..schemas import BRONZE_SCHEMA, MODEL_TEXT_COLUMNS
+from ..operators.model import Scorer
+from ..schemas import BRONZE_SCHEMA, MODEL_TEXT_COLUMNS, field_or_null
 from ..session import scratch_path
-from .jobs import TrainingConfig, Workspace, bronze_job, gold_job, predict_job, silver_job, train_job
+from .jobs import (
+    TrainingConfig,
+    Workspace,
+    bronze_job,
+    gold_job,
+    predict_df,
+    predict_job,
+    read_load_status,
+    silver_job,
+    train_job,
+)
 from .tables import bronze_records, conversation_pages, record_pages, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,8 +66,12 @@ def _cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    props = F.from_json("props", "k int")
-    return table(spark, sf_dir, "events").select("event_id", props["k"].alias("k"))
+    """Events landed as JSON lines, read with an inferred schema."""
+    path = scratch_path(spark, "events")
+    events = table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k int").alias("props"))
+    src.write_table(events, path, "json")
+    read = src.read_table(spark, path, "json")
+    return read.select("event_id", field_or_null(read.schema, "props.k", dtype="int").alias("k"))
 
 
 @query
@@ -145,13 +160,9 @@ def split_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def nested_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_records(spark, sf_dir).select(
-        "oracle_id",
-        "prices.usd",
-        "prices.usd_foil",
-        F.col("image_uris.small").alias("image_link"),
-        F.get("card_faces", F.lit(1))["name"].alias("second_name"),
-    )
+    bronze = bronze_records(spark, sf_dir).withColumn("second", F.get("card_faces", F.lit(1)))
+    paths = {"usd": "prices.usd", "usd_foil": "prices.usd_foil", "image_link": "image_uris.small", "second_name": "second.name"}
+    return bronze.select("oracle_id", *[field_or_null(bronze.schema, path).alias(name) for name, path in paths.items()])
 
 
 @query
@@ -229,9 +240,32 @@ def first_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _paired_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two turns in a row as the two faces of an item: every row has a place."""
+    turn = F.col("card_face_number").cast("int")
+    return _conversation_faces(spark, sf_dir).withColumns(
+        {
+            "oracle_id": F.concat_ws("-", "oracle_id", F.floor(turn / 2).cast("string")),
+            "card_face_number": (turn % 2).cast("string"),
+        }
+    )
+
+
 @query
 def pivot_faces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.pivot_faces("train", _conversation_faces(spark, sf_dir))
+    return op.pivot_faces("train", _paired_turns(spark, sf_dir))
+
+
+@query
+def gold_auto_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More than two face numbers: the transform decides to pad."""
+    return op.gold_transform("train", _conversation_faces(spark, sf_dir))
+
+
+@query
+def gold_auto_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly two face numbers: the transform decides to pivot."""
+    return op.gold_transform("train", _paired_turns(spark, sf_dir))
 
 
 @query
@@ -241,7 +275,7 @@ def pad_second_face(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def null_token(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.fill_null_token(op.pivot_faces("train", _conversation_faces(spark, sf_dir)))
+    return op.fill_null_token(op.pivot_faces("train", _paired_turns(spark, sf_dir)))
 
 
 # --- scalar functions --------------------------------------------------------
@@ -328,6 +362,16 @@ def encoded_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def encoded_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training set as token ids under its own vocabulary."""
+    training = op.training_set(_gold(spark, sf_dir, "train"))
+    encoded = op.encoded_training_set(training, op.build_vocabulary(training, "gameplay_text"), max_length=32)
+    return encoded.select(
+        *[F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("input_ids", "attention_mask")], "label"
+    )
+
+
 @query
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.when(op.is_test_row(["event_id"], 0.2), "test").otherwise("train")
@@ -353,12 +397,12 @@ def eval_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.confusion_counts(judged, "label", "predicted")
 
 
-def _length_scorer(limit: int) -> Callable[[], Callable[[str], list[dict]]]:
+def _length_scorer(limit: int) -> Callable[[], Scorer]:
     """A stand-in scorer: long texts are expected to be worth more."""
 
-    def load() -> Callable[[str], list[dict]]:
+    def load() -> Scorer:
         above, below = [{"label": "Above_3", "score": 0.75}], [{"label": "Below_3", "score": 0.5}]
-        return lambda text: above if len(text) >= limit else below
+        return lambda texts: [above if len(text) >= limit else below for text in texts]
 
     return load
 
@@ -371,8 +415,9 @@ def udf_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def result_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold scored on its row text by a scorer of the caller's."""
     gold = _gold(spark, sf_dir, "predict")
-    return op.select_results(op.unpack_results(op.score_with(gold, "oracle_text", _length_scorer(20))))
+    return op.select_results(predict_df(gold, CONFIG, "", scorer=_length_scorer(110)))
 
 
 # --- jobs --------------------------------------------------------------------
@@ -402,6 +447,23 @@ def e2e_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_record(work.zones.read("bronze", identifier))
 
 
+@query
+def bronze_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the requests of a bronze run ended, as the job wrote it."""
+    work = Workspace(spark, scratch_path(spark, "lake-bronze"), "train")
+    bronze_job(work, record_pages(spark, sf_dir), AS_OF, NOW, since_year=SINCE_YEAR)
+    return read_load_status(work)
+
+
+@query
+def e2e_silver_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze stored without some fields, read as it is: they become nulls."""
+    work = Workspace(spark, scratch_path(spark, "lake-inferred"), "train")
+    partial = bronze_records(spark, sf_dir).drop("card_faces", "loyalty", "legalities")
+    work.zones.write(partial, "bronze", work.new_run(NOW))
+    return work.zones.read("silver", silver_job(work, infer=True))
+
+
 def _silver(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     work = _landed(spark, sf_dir, mode)
     return work.zones.read("silver", silver_job(work))
@@ -436,30 +498,65 @@ def e2e_gold_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return work.zones.read("gold", work.current_run())
 
 
-@query
-def e2e_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metrics of the run that the train job recorded."""
+def _trained(spark: SparkSession, sf_dir: str) -> Workspace:
     work = _refined(spark, sf_dir, "train")
     train_job(work, CONFIG)
-    runs = src.read_model_runs(spark, work.root_dir)
-    return runs.select("experiment", F.explode("metrics").alias("metric", "value"))
+    return work
 
 
 @query
-def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work = _refined(spark, sf_dir, "train")
-    train_job(work, CONFIG)
-    return src.read_model_runs(spark, work.root_dir)
+def e2e_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the train job recorded: exact counts, and what must hold of a fit."""
+    metric = {name: F.col("metrics")[name] for name in ("eval_loss", "eval_accuracy", "eval_rows")}
+    truth = {t: sum(F.col("metrics")[f"eval_true_{t}_predicted_{p}"] for p in (0, 1)) for t in (0, 1)}
+    right = sum(F.col("metrics")[f"eval_true_{t}_predicted_{t}"] for t in (0, 1))
+    return src.read_model_runs(spark, _trained(spark, sf_dir).root_dir).select(
+        "experiment",
+        metric["eval_rows"].cast("long").alias("eval_rows"),
+        *[truth[t].cast("long").alias(f"eval_true_{t}") for t in (0, 1)],
+        ((metric["eval_loss"] > 0) & (metric["eval_loss"] < 10)).alias("loss_is_finite"),
+        (F.abs(metric["eval_accuracy"] * metric["eval_rows"] - right) < 0.5).alias("accuracy_is_share_of_right"),
+    )
 
 
 @query
-def e2e_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train, then score the predict zone of the same lake into the results table."""
-    training = _refined(spark, sf_dir, "train")
-    train_job(training, CONFIG)
-    work = Workspace(spark, training.root_dir, "predict")
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recorded run: experiment, parameters and names of metrics."""
+    runs = src.read_model_runs(spark, _trained(spark, sf_dir).root_dir)
+    return runs.select(
+        "experiment",
+        F.array_join(F.array_sort(F.transform(F.map_entries("params"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ";").alias("params"),
+        F.array_join(F.array_sort(F.map_keys("metrics")), ";").alias("metric_names"),
+        F.endswith("model_path", F.concat(F.lit("/models/"), F.col("run_id"))).alias("model_is_kept"),
+    )
+
+
+def _predicted(spark: SparkSession, sf_dir: str, root_dir: str, table: str, **options) -> DataFrame:
+    """Results table of a predict job over a new predict zone below ``root_dir``."""
+    work = Workspace(spark, root_dir, "predict")
     work.zones.write(bronze_records(spark, sf_dir), "bronze", work.new_run(NOW))
     silver_job(work)
     gold_job(work)
-    predict_job(work, CONFIG, table="results", path=scratch_path(spark, "results"))
-    return spark.table("results")
+    predict_job(work, CONFIG, table=table, path=scratch_path(spark, table), **options)
+    return spark.table(table)
+
+
+@query
+def e2e_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train, then score the predict zone of the same lake into the results table."""
+    results = _predicted(spark, sf_dir, _trained(spark, sf_dir).root_dir, "results")
+    return results.select(
+        "oracle_id",
+        "name",
+        "image_link",
+        "price",
+        F.col("label").isin("Below_3", "Above_3").alias("label_is_known"),
+        F.col("score").cast("double").between(0.5, 1.0).alias("score_is_of_chosen_class"),
+    )
+
+
+@query
+def e2e_predict_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predict job with a scorer of the caller's."""
+    root_dir = scratch_path(spark, "lake-predict")
+    return _predicted(spark, sf_dir, root_dir, "results_scorer", scorer=_length_scorer(110))

@@ -99,6 +99,19 @@ def string_schema(columns: list[str]) -> StructType:
     return StructType(_strings(*columns))
 
 
+def widened(declared: DataType, found: DataType) -> DataType:
+    """``declared`` with all further fields of ``found``, at any depth."""
+    if isinstance(declared, StructType) and isinstance(found, StructType):
+        more = {f.name: f for f in found.fields}
+        fields = [
+            StructField(f.name, widened(f.dataType, more[f.name].dataType)) if f.name in more else f for f in declared.fields
+        ]
+        return StructType(fields + [f for f in found.fields if f.name not in declared.fieldNames()])
+    if isinstance(declared, ArrayType) and isinstance(found, ArrayType):
+        return ArrayType(widened(declared.elementType, found.elementType), declared.containsNull)
+    return declared
+
+
 def has_field(schema: DataType, path: str) -> bool:
     """Whether struct type ``schema`` holds the dotted ``path``."""
     for part in path.split("."):

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +32,9 @@ def local_session(app: str, cores: str = "*", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_made: list[list[str]] = [[]]
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the shared checkpoint folder of the session.
 
@@ -41,7 +46,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError(f"{CHECKPOINT_DIR} must name a shared folder on a cluster")
         base = tempfile.mkdtemp(prefix="facetmill-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders named inside are removed at the end: what is computed from them must be written by then."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

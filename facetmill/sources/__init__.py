@@ -1,7 +1,7 @@
 """Zones, run tables, landed pages and cohort filters."""
 
 from .cohorts import cohort, name_cohort, predict_cohort, train_cohort
-from .pages import flatten_pages, page_status, read_pages
+from .pages import flatten_pages, load_status, page_status, read_pages
 from .runs import (
     append_model_run,
     append_run,
@@ -12,7 +12,7 @@ from .runs import (
     read_model_runs,
     run_identifier,
 )
-from .zones import LAYOUTS, ZoneStore, read_table, write_results_table, write_table
+from .zones import LAYOUTS, ZoneStore, read_table, record_path, write_results_table, write_table
 
 __all__ = [
     "LAYOUTS",
@@ -24,6 +24,7 @@ __all__ = [
     "flatten_pages",
     "latest_model_runs",
     "latest_runs",
+    "load_status",
     "name_cohort",
     "new_run",
     "page_status",
@@ -31,6 +32,7 @@ __all__ = [
     "read_model_runs",
     "read_pages",
     "read_table",
+    "record_path",
     "run_identifier",
     "train_cohort",
     "write_results_table",

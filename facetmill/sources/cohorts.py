@@ -33,7 +33,8 @@ def train_cohort(as_of: date | None = None, days: int = 365, since_year: int = 2
     )
 
 
-def name_cohort(term: str = "rowan") -> Column:
+def name_cohort(term: str) -> Column:
+    """Names that hold ``term``."""
     return F.lower("name").contains(term.lower())
 
 
@@ -43,13 +44,15 @@ def cohort(
     predict_days: int = 30,
     train_days: int = 365,
     since_year: int = 2011,
-    term: str = "rowan",
+    term: str | None = None,
 ) -> Column:
-    """The filter of ``mode``."""
+    """The filter of ``mode``; the test mode needs a ``term``."""
     match check_mode(mode):
         case "train":
             return train_cohort(as_of, train_days, since_year)
         case "predict":
             return predict_cohort(as_of, predict_days)
         case _:
+            if term is None:
+                raise ValueError("the test cohort needs a term")
             return name_cohort(term)

@@ -10,16 +10,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..schemas import BRONZE_SCHEMA, page_schema
+from ..schemas import BRONZE_SCHEMA, page_schema, widened
 from ..session import materialise
 
 # In-memory bytes of request ends below which they are sent to every task.
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 64
+# What a hashed row of a string and a number takes besides twice its key.
+ROW_BYTES = 120
 
 
-def read_pages(spark: SparkSession, path: str, record: StructType = BRONZE_SCHEMA) -> DataFrame:
-    return spark.read.schema(page_schema(record)).json(path)
+def read_pages(spark: SparkSession, path: str, record: StructType = BRONZE_SCHEMA, keep_all: bool = True) -> DataFrame:
+    """Landed pages with ``record`` rows.
+
+    With ``keep_all`` every other field that the pages hold is kept as well, with
+    its inferred type; that takes one more pass over them.
+    """
+    declared = page_schema(record)
+    if keep_all:
+        declared = widened(declared, spark.read.json(path).schema)
+    return spark.read.schema(declared).json(path)
 
 
 def _is_error() -> Column:
@@ -40,12 +49,16 @@ def _end_of_request() -> Column:
 
 
 def page_status(pages: DataFrame) -> DataFrame:
-    """How every request ended: ``complete``, ``error``, ``invalid`` or ``open``."""
+    """How every request ended: ``complete``, ``error``, ``invalid`` or ``open``.
+
+    Where two pages have the number at which it ended, an unusable one decides.
+    """
     stop = F.min(
         F.when(
             _is_unusable() | _is_last(),
             F.struct(
                 "page_no",
+                (~_is_unusable()).alias("usable"),
                 F.when(_is_error(), "error").when(F.col("data").isNull(), "invalid").otherwise("complete").alias("status"),
             ),
         )
@@ -55,15 +68,30 @@ def page_status(pages: DataFrame) -> DataFrame:
     )
 
 
-def flatten_pages(
-    pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, salts: int = SALTS
-) -> DataFrame:
+def load_status(pages: DataFrame) -> DataFrame:
+    """:func:`page_status` with the number of pages, and of those without ``page_no``, of every request.
+
+    A page without a number counts only in a request that no page ends.
+    """
+    counts = pages.groupBy("request_id").agg(
+        F.count("*").alias("pages"), F.count_if(F.col("page_no").isNull()).alias("unnumbered_pages")
+    )
+    same = F.col("request_id").eqNullSafe(F.col("counted_request"))
+    return (
+        page_status(pages)
+        .join(counts.withColumnRenamed("request_id", "counted_request"), same)
+        .select("request_id", "status", "last_page", "pages", "unnumbered_pages")
+    )
+
+
+def flatten_pages(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per record of the pages that count, with ``request_id`` and ``page_no``.
 
     The ends are one small row per request and aggregate map-side. They are
     written once, measured, and broadcast when they fit, so that the page
-    bodies do not move. When they do not fit, both sides join on request and
-    salt, which spreads a request that holds most of the pages.
+    bodies do not move. When they do not fit, bodies and ends join on the
+    request; a request that holds most of the pages is on the left side, where
+    adaptive execution splits it.
     """
     ends = materialise(
         pages.groupBy(F.col("request_id").alias("ended_request"))
@@ -71,16 +99,14 @@ def flatten_pages(
         .filter("last_page is not null"),
         "request-ends",
     )
-    held = F.coalesce(F.octet_length("ended_request"), F.lit(0)) + 32
+    held = F.coalesce(F.octet_length("ended_request"), F.lit(0)) * 2 + ROW_BYTES
     size = ends.agg(F.sum(held).alias("bytes")).first()["bytes"] or 0
     usable = pages.filter(~_is_unusable())
     same_request = F.col("request_id").eqNullSafe(F.col("ended_request"))
     if size <= broadcast_bytes:
         joined = usable.join(F.broadcast(ends), same_request, "left")
     else:
-        salted_ends = ends.withColumn("end_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        salted = usable.withColumn("salt", F.pmod(F.xxhash64("page_no"), F.lit(salts)).cast("int"))
-        joined = salted.join(salted_ends, same_request & (F.col("salt") == F.col("end_salt")), "left")
+        joined = usable.hint("merge").join(ends, same_request, "left")
     kept = joined.filter(F.col("last_page").isNull() | (F.col("page_no") <= F.col("last_page")))
     return kept.select("request_id", "page_no", F.explode("data").alias("record")).select(
         "request_id", "page_no", "record.*"

@@ -30,7 +30,7 @@ def _model_runs_path(root_dir: str) -> str:
 
 
 def run_identifier(created_at: Column) -> Column:
-    """Twelve-digit run id of a point in time."""
+    """Twelve-digit run id of a point in time, in the session's time zone."""
     return F.date_format(created_at, "yyMMddHHmmss")
 
 
@@ -48,7 +48,8 @@ def append_run(spark: SparkSession, root_dir: str, mode: str, identifier: str, c
 def new_run(spark: SparkSession, root_dir: str, mode: str, now: datetime | None = None) -> str:
     """Record a new run of ``mode`` and return its identifier."""
     now = now or datetime.now(timezone.utc)
-    identifier = now.strftime("%y%m%d%H%M%S")
+    named = spark.range(1).select(run_identifier(F.timestamp_micros(F.lit(int(now.timestamp() * 1_000_000)))).alias("identifier"))
+    identifier = named.first()["identifier"]
     append_run(spark, root_dir, mode, identifier, now)
     return identifier
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql.types import StringType, StructType
 
 from ..functions import normalise_strings, strip_newlines
 from ..schemas import BRONZE_SCHEMA, check_mode, gold_columns, silver_columns, string_schema
+from ..session import materialise, scratch
 
 # Storage format by zone. "text" keeps row files that people can open; "columnar"
 # keeps nested types, prunes columns and pushes filters.
@@ -87,8 +89,24 @@ class ZoneStore:
 def write_results_table(
     df: DataFrame, table: str = "results", fmt: str = "parquet", path: str | None = None
 ) -> None:
-    """Overwrite catalog table ``table``; ``path`` makes it an external table."""
-    writer = df.write.format(fmt).mode("overwrite")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    """Replace catalog table ``table``; ``path`` makes it an external table.
+
+    The new rows are written in full before the old ones go: below ``path``, each
+    version has a folder of its own, and the table is pointed at the new one.
+    Without ``path`` they are staged in the scratch folder.
+    """
+    spark = df.sparkSession
+    if path is None:
+        with scratch(spark):
+            materialise(df, "results").write.format(fmt).mode("overwrite").saveAsTable(table)
+        return
+    folder = f"{path.rstrip('/')}/version-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(folder)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE {table}")
+    spark.catalog.createTable(table, path=folder, source=fmt)
+
+
+def record_path(root_dir: str, kind: str, mode: str, identifier: str) -> str:
+    """Where a table about a run is kept, such as the load status of bronze."""
+    return f"{root_dir.rstrip('/')}/{kind}/{mode}/{mode}_{kind}_{identifier}.parquet"

@@ -28,17 +28,17 @@ def card(oracle_id, usd=None, usd_foil=None, faces=None, released_at=None, legac
 
 
 CARDS = [
-    card("a", "0.23", name="Aura", image="a.jpg", mana_cost="{2}{R}", type_line="Enchantment", oracle_text="Enchant\ncreature (a creature)"),
-    card("b", None, "4.50", name="Bear", mana_cost="{G}", type_line="Creature", oracle_text="", power="2", toughness="2"),
-    card("c", "3.0", "9", name="Walker", type_line="Planeswalker", oracle_text="+1: Draw.", loyalty="4", power="1"),
-    card("d", name="Siege", type_line="Battle", oracle_text="(only a note)", defense="5"),
+    card("a", "1.49", name="Lamp", image="a.jpg", mana_cost="2 parts", type_line="Light", oracle_text="Hang it\nhigh (a hook helps)"),
+    card("b", None, "7.20", name="Stool", mana_cost="1 part", type_line="Seat", oracle_text="", power="40", toughness="30"),
+    card("c", "3.5", "8", name="Clock", type_line="Device", oracle_text="+1: Wind.", loyalty="6", power="1"),
+    card("d", name="Rug", type_line="Textile", oracle_text="(only a note)", defense="5"),
     card(
         "e",
-        "2.21",
-        name="Twin // Other",
+        "5.80",
+        name="Desk // Shelf",
         faces=[
-            face(name="Twin", image="e0.jpg", mana_cost="{2}{R}", type_line="Planeswalker", oracle_text="First\nside", loyalty="2"),
-            face(name="Other", image="e1.jpg", mana_cost="{4}{U}", type_line="Planeswalker", oracle_text="Second (x) side", loyalty="4"),
+            face(name="Desk", image="e0.jpg", mana_cost="4 parts", type_line="Table", oracle_text="Upper\nboard", loyalty="8"),
+            face(name="Shelf", image="e1.jpg", mana_cost="6 parts", type_line="Rack", oracle_text="Lower (x) board", loyalty="3"),
         ],
     ),
 ]

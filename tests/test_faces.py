@@ -44,8 +44,8 @@ def test_split_is_complementary(spark):
 def test_explode_keeps_position_and_price(spark, rows):
     faces = explode_faces(bronze(spark)).select("oracle_id", "card_face_number", "face.name", "usd", "usd_foil")
     assert rows(faces) == [
-        {"oracle_id": "e", "card_face_number": 0, "name": "Twin", "usd": "2.21", "usd_foil": None},
-        {"oracle_id": "e", "card_face_number": 1, "name": "Other", "usd": "2.21", "usd_foil": None},
+        {"oracle_id": "e", "card_face_number": 0, "name": "Desk", "usd": "5.80", "usd_foil": None},
+        {"oracle_id": "e", "card_face_number": 1, "name": "Shelf", "usd": "5.80", "usd_foil": None},
     ]
 
 
@@ -110,3 +110,18 @@ def test_join_merges_a_card_and_a_face_that_agree_in_every_column(spark):
 def test_select_or_null(spark, rows):
     df = spark.range(1).select(F.lit(7).alias("a"))
     assert rows(select_or_null(df, ["b", "a"])) == [{"b": None, "a": "7"}]
+
+
+def test_join_leaves_out_fields_that_one_side_lacks(spark, rows):
+    """A card and a face that agree in all fields both have become one row, whatever only one has."""
+    from pyspark.sql import functions as F
+
+    from facetmill.operators import join_faces
+
+    same = dict(name="Desk", mana_cost="m", type_line="t", oracle_text="o", power="1", toughness="2", defense="3", loyalty="4")
+    records = bronze(spark, [card("e", "1", "2", **same), card("e", "1", "2", faces=[face(**same)])])
+    faces = F.transform("card_faces", lambda f: f.dropFields("loyalty"))
+    joined = join_faces("train", records.withColumn("card_faces", faces))
+    assert [(r["oracle_id"], r["loyalty"]) for r in rows(joined)] == [("e", "4")]
+    both = join_faces("train", records.drop("loyalty").withColumn("card_faces", faces))
+    assert [(r["oracle_id"], r["loyalty"]) for r in rows(both)] == [("e", None)]

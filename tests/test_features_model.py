@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from facetmill.operators import (
     build_vocabulary,
     confusion_counts,
+    each_text,
     encode_tokens,
     encoded_training_set,
     evaluate,
@@ -41,7 +42,7 @@ def _words(text):
 
 
 def _vocabulary(texts, size):
-    counts = Counter(w for t in texts for w in _words(t) if len(w) <= 100)
+    counts = Counter(w for t in texts for w in _words(t))
     ranked = sorted(counts.items(), key=lambda item: (-item[1], item[0].encode()))[:size]
     return {word: (n, i + 2) for i, (word, n) in enumerate(ranked)}
 
@@ -50,12 +51,18 @@ def _texts(spark, texts=TEXTS):
     return spark.createDataFrame(list(enumerate(texts)), "id int, t string").repartition(3)
 
 
-@pytest.mark.parametrize("size", [4, 1000])
+@pytest.mark.parametrize("size", [4, 1000, None])
 def test_vocabulary_equals_brute_force(spark, size):
     got = {r.token: (r.n, r.token_id) for r in build_vocabulary(_texts(spark), "t", size).collect()}
     assert got == _vocabulary(TEXTS, size)
 
 
+def test_vocabulary_keeps_all_words_by_default(spark):
+    texts = [" ".join(f"w{i * k}" for i in range(900)) for k in range(1, 60)] + ["x" * 5000]
+    got = {r.token: (r.n, r.token_id) for r in build_vocabulary(_texts(spark, texts), "t").collect()}
+    assert got == _vocabulary(texts, None) and len(got) > 20_000
+
+
 def test_vocabulary_drops_rare_words_exactly(spark):
     texts = [" ".join(f"w{i}" for i in range(n)) for n in range(1, 60)]
     for size in (1, 2, 17, 40, 59, 60):
@@ -63,11 +70,12 @@ def test_vocabulary_drops_rare_words_exactly(spark):
         assert got == _vocabulary(texts, size)
 
 
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
 @pytest.mark.parametrize("truncate", [False, True])
-def test_encoding_equals_brute_force(spark, truncate):
+def test_encoding_equals_brute_force(spark, truncate, broadcast_bytes):
     known = _vocabulary(TEXTS, 5)
     df = _texts(spark)
-    encoded = encode_tokens(df, "t", build_vocabulary(df, "t", 5), max_length=8, truncate=truncate)
+    encoded = encode_tokens(df, "t", build_vocabulary(df, "t", 5), 8, truncate, broadcast_bytes)
     assert encoded.columns == ["id", "t", "input_ids", "attention_mask"]
     for row in encoded.collect():
         ids = [known[w][1] if w in known else 1 for w in _words(TEXTS[row.id])]
@@ -92,14 +100,14 @@ def _gold(spark, *data):
 def test_training_set(spark, rows):
     gold = _gold(
         spark,
-        dict(oracle_id="t", mana_cost="{3}{G}", type_line="Creature — Treefolk", bottomright_value="3/4", price="0.15"),
+        dict(oracle_id="t", mana_cost="12 kg", type_line="Shelf — oak", bottomright_value="80/30", price="1.49"),
         dict(oracle_id="u", second_oracle_text=None, price="3"),
     )
     training = training_set(gold)
     assert training.dtypes == [("gameplay_text", "string"), ("price", "int")]
     assert rows(training) == [
+        {"gameplay_text": "12 kg Shelf — oak [Null] 80/30 [Null] [Null] [Null] [Null]", "price": 0},
         {"gameplay_text": "[Null] [Null] [Null] [Null] [Null] [Null] None [Null]", "price": 1},
-        {"gameplay_text": "{3}{G} Creature — Treefolk [Null] 3/4 [Null] [Null] [Null] [Null]", "price": 0},
     ]
     encoded = encoded_training_set(training, build_vocabulary(training, "gameplay_text"))
     assert encoded.dtypes == [("input_ids", "array<int>"), ("attention_mask", "array<int>"), ("label", "int")]
@@ -166,7 +174,7 @@ def test_any_scorer(spark, rows):
 
     def load():
         loads.add(1)
-        return lambda text: [] if text is None else [{"label": text.upper(), "score": len(text) / 2}]
+        return lambda texts: [[] if t is None else [{"label": t.upper(), "score": len(t) / 2}] for t in texts]
 
     df = spark.createDataFrame([("ab",), ("c",), (None,)], "t string").coalesce(1)
     scored = unpack_results(score_with(df, "t", load))
@@ -178,6 +186,12 @@ def test_any_scorer(spark, rows):
     assert loads.value == 1
 
 
+def test_scorer_of_single_texts(spark):
+    df = spark.createDataFrame([("ab",), ("c",)], "t string")
+    load = each_text(lambda: lambda text: [{"label": text, "score": 1.0}])
+    assert {r.label for r in unpack_results(score_with(df, "t", load)).collect()} == {"ab", "c"}
+
+
 def test_results_are_strings(spark):
     df = spark.sql("select 1 oracle_id, 'n' name, 'i' image_link, 'L' label, 0.85D score, '2' price, 'x' other")
     results = select_results(df)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+import os
 from datetime import date, datetime, timezone
 
 import pytest
@@ -7,12 +9,12 @@ from cards import CARDS, bronze, card
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from facetmill import Workspace, bronze_job, gold_job, predict_df, predict_job, silver_job, train_job
+from facetmill import IncompleteLoadError, Workspace, bronze_job, gold_job, predict_df, predict_job, read_load_status, silver_job, train_job
 from facetmill.plans import TrainingConfig
 from facetmill.plans.jobs import load_latest_model
 from facetmill.schemas import RESULT_COLUMNS, gold_columns
-from facetmill.session import scratch_path
-from facetmill.sources import read_model_runs
+from facetmill.session import materialise, scratch, scratch_path
+from facetmill.sources import read_model_runs, read_pages
 
 CONFIG = {"model_name": "m", "experiment_path": "/e", "num_features": 64, "max_iter": 3, "unknown": 1}
 AS_OF = date(2020, 1, 20)
@@ -30,16 +32,16 @@ def _pages(records):
 
 def _run(spark, root, mode, layout="columnar", records=None):
     work = Workspace(spark, root, mode, layout)
-    identifier = bronze_job(work, _pages(bronze(spark, records)), AS_OF)
+    identifier = bronze_job(work, _pages(bronze(spark, records)), AS_OF, term="amber")
     assert silver_job(work) == gold_job(work) == identifier == work.current_run()
     return work
 
 
 @pytest.mark.parametrize("mode", ["predict", "test"])
 def test_layouts_agree(spark, rows, tmp_path, mode):
-    records = CARDS + [card("f", name="Rowan", oracle_text=" (only) \r ", mana_cost='"{1};', type_line="a\\")]
+    records = CARDS + [card("f", name="Amber", oracle_text=" (only) \r ", mana_cost='"1 part;', type_line="a\\")]
     if mode == "test":
-        records = [{**r, "name": f"rowan {r['name']}"} for r in records]
+        records = [{**r, "name": f"amber {r['name']}"} for r in records]
     got = {}
     for layout in ("columnar", "text"):
         work = _run(spark, str(tmp_path / layout), mode, layout, records)
@@ -67,7 +69,7 @@ def test_train_then_predict(spark, tmp_path):
 
     gold = work.zones.read("gold", work.current_run())
     assert predict_df(gold, CONFIG, root).columns == [*gold_columns("predict"), "label", "score"]
-    fixed = predict_df(gold, CONFIG, root, scorer=lambda: lambda text: [{"label": "Above_3", "score": 0.85}])
+    fixed = predict_df(gold, CONFIG, root, scorer=lambda: lambda texts: [[{"label": "Above_3", "score": 0.85}]] * len(texts))
     assert {(r.label, r.score) for r in fixed.collect()} == {("Above_3", 0.85)}
     with pytest.raises(LookupError):
         load_latest_model(spark, {"model_name": "other"}, root)
@@ -81,6 +83,47 @@ def test_jobs_pick_the_current_run(spark, tmp_path):
     assert work.zones.read("silver", "240101020000").count() == 2
 
 
+def test_bronze_records_how_requests_ended(spark, tmp_path):
+    good = _pages(bronze(spark))
+    bad = good.limit(1).withColumns({"request_id": F.lit("bad"), "object": F.lit("error"), "page_no": F.lit(None).cast("int")})
+    pages = good.withColumn("has_more", F.col("page_no") < len(CARDS)).unionByName(bad)
+    work = Workspace(spark, str(tmp_path), "predict")
+    bronze_job(work, pages, AS_OF)
+    got = {r.request_id: (r.status, r.last_page, r.pages, r.unnumbered_pages) for r in read_load_status(work).collect()}
+    assert got == {"r": ("complete", len(CARDS), len(CARDS), 0), "bad": ("error", None, 1, 1)}
+    with pytest.raises(IncompleteLoadError, match="bad"):
+        bronze_job(work, pages, AS_OF, require_complete=True)
+    bronze_job(work, pages.filter("request_id = 'r'"), AS_OF, require_complete=True)
+
+
+def test_bronze_keeps_every_field_of_a_record(spark, tmp_path):
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    record = {"oracle_id": "x", "name": "Lamp", "reprint": False, "digital": False, "released_at": "2020-01-19", "colour": "red", "prices": {"usd": "1", "eur": "2"}}
+    (landed / "p.json").write_text(json.dumps({"request_id": "r", "page_no": 0, "object": "list", "data": [record]}))
+    work = Workspace(spark, str(tmp_path / "lake"), "predict")
+    identifier = bronze_job(work, read_pages(spark, str(landed)), AS_OF)
+    kept = work.zones.read("bronze", identifier, infer=True).first()
+    assert kept.colour == "red" and kept.prices.eur == "2" and kept.oracle_id == "x"
+    silver_job(work)
+    assert work.zones.read("silver", identifier).count() == 1
+
+
+def test_silver_on_inferred_bronze(spark, tmp_path):
+    work = Workspace(spark, str(tmp_path), "train")
+    work.zones.write(bronze(spark).drop("card_faces", "loyalty"), "bronze", work.new_run())
+    got = {r.oracle_id: r for r in work.zones.read("silver", silver_job(work, infer=True)).collect()}
+    assert len(got) == len(CARDS) and got["c"].bottomright_value is None and got["b"].bottomright_value == "40/30"
+
+
+def test_scratch_is_removed_with_its_job(spark):
+    with scratch(spark):
+        df = materialise(spark.range(3), "kept")
+        folder = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(folder) and df.count() == 3
+    assert not os.path.exists(folder)
+
+
 def test_config_from_mapping():
     config = TrainingConfig.of(CONFIG)
     assert config.experiment == "/e/m" and config.test_size == 0.2

@@ -16,20 +16,20 @@ def test_silver_values(spark, rows):
     silver = silver_transform("train", bronze(spark))
     assert silver.columns == silver_columns("train")
     got = {(r["oracle_id"], r["card_face_number"]): r for r in rows(silver)}
-    assert got["a", "0"]["oracle_text"] == "Enchant creature "
+    assert got["a", "0"]["oracle_text"] == "Hang it high "
     assert got["b", "0"]["oracle_text"] == ""
-    assert got["e", "1"]["oracle_text"] == "Second  side"
+    assert got["e", "1"]["oracle_text"] == "Lower  board"
     assert {k: r["bottomright_value"] for k, r in got.items()} == {
-        ("a", "0"): None, ("b", "0"): "2/2", ("c", "0"): "4", ("d", "0"): "5", ("e", "0"): "2", ("e", "1"): "4",
+        ("a", "0"): None, ("b", "0"): "40/30", ("c", "0"): "6", ("d", "0"): "5", ("e", "0"): "8", ("e", "1"): "3",
     }
-    assert {k[0]: r["price"] for k, r in got.items()} == {"a": "0.23", "b": "4.50", "c": "3.0", "d": None, "e": "2.21"}
+    assert {k[0]: r["price"] for k, r in got.items()} == {"a": "1.49", "b": "7.20", "c": "3.5", "d": None, "e": "5.80"}
 
 
 def test_silver_predict_columns(spark, rows):
     silver = silver_transform("predict", bronze(spark))
     assert silver.columns == silver_columns("predict")
     links = {(r["name"], r["image_link"]) for r in rows(silver)}
-    assert links == {("Aura", "a.jpg"), ("Bear", None), ("Walker", None), ("Siege", None), ("Twin", "e0.jpg"), ("Other", "e1.jpg")}
+    assert links == {("Lamp", "a.jpg"), ("Stool", None), ("Clock", None), ("Rug", None), ("Desk", "e0.jpg"), ("Shelf", "e1.jpg")}
 
 
 def test_silver_test_mode_uses_train_columns(spark):
@@ -47,11 +47,11 @@ def test_gold_values(spark, rows):
     got = {r["oracle_id"]: r for r in rows(gold)}
     assert len(got) == 5
     assert got["e"] == {
-        "oracle_id": "e", "name": "Twin", "image_link": "e0.jpg", "mana_cost": "{2}{R}",
-        "type_line": "Planeswalker", "oracle_text": "First side", "bottomright_value": "2",
-        "second_name": "Other", "second_image_link": "e1.jpg", "second_mana_cost": "{4}{U}",
-        "second_type_line": "Planeswalker", "second_oracle_text": "Second  side",
-        "second_bottomright_value": "4", "price": "2.21",
+        "oracle_id": "e", "name": "Desk", "image_link": "e0.jpg", "mana_cost": "4 parts",
+        "type_line": "Table", "oracle_text": "Upper board", "bottomright_value": "8",
+        "second_name": "Shelf", "second_image_link": "e1.jpg", "second_mana_cost": "6 parts",
+        "second_type_line": "Rack", "second_oracle_text": "Lower  board",
+        "second_bottomright_value": "3", "price": "5.80",
     }
     # Text that is empty after cleaning becomes the token; display columns and price stay null.
     assert got["d"]["oracle_text"] == "[Null]" and got["d"]["price"] is None
@@ -75,18 +75,18 @@ def test_whole_input_decides_between_pivot_and_padding(spark):
     assert gold_transform("train", two, widen="pad").count() == 3
 
 
-def test_null_face_number_counts_as_a_value(spark, rows):
-    silver = _silver(spark, ("a", "0", "x", "1"), ("b", None, "y", "2"))
-    got = rows(gold_transform("train", silver), "oracle_id", "oracle_text", "price")
-    assert got == [
-        {"oracle_id": "a", "oracle_text": "x", "price": "1"},
-        {"oracle_id": "b", "oracle_text": "[Null]", "price": None},
-    ]
+@pytest.mark.parametrize("numbers", [("1", "2"), ("0", "2"), ("0", None)])
+def test_two_numbers_must_be_zero_and_one(spark, numbers):
+    silver = _silver(spark, *[("a", n, "x", "1") for n in numbers])
+    with pytest.raises(ValueError, match="not 0 and 1"):
+        gold_transform("train", silver)
 
 
-def test_two_faces_without_face_zero(spark):
-    with pytest.raises(ValueError):
-        gold_transform("train", _silver(spark, ("a", "1", "x", "1"), ("a", "2", "y", "2")))
+@pytest.mark.parametrize("number", ["2", None])
+def test_pivot_drops_no_face(spark, number):
+    silver = _silver(spark, ("a", "0", "x", "1"), ("a", "1", "y", "2"), ("a", number, "z", "3"))
+    with pytest.raises(Exception, match="no columns for face number"):
+        pivot_faces("train", silver).collect()
 
 
 def test_first_row_wins_as_a_whole(spark, rows):
@@ -104,7 +104,7 @@ def test_null_ids_form_one_group(spark):
 
 
 def test_result_does_not_depend_on_row_order_or_partitions(spark, rows):
-    records = CARDS + [card("e", "7", faces=[face(name="Twin", oracle_text=t), face(name="Other")]) for t in "zyxw"]
+    records = CARDS + [card("e", "7", faces=[face(name="Desk", oracle_text=t), face(name="Shelf")]) for t in "zyxw"]
     want = rows(gold_transform("predict", silver_transform("predict", bronze(spark, records))))
     shuffled = bronze(spark, records[::-1]).repartition(7)
     assert rows(gold_transform("predict", silver_transform("predict", shuffled))) == want

@@ -160,7 +160,7 @@ def test_pages_equal_a_serial_walk(spark, seed, broadcast_bytes):
     kept, status = _brute_force(pages)
     threshold = "spark.sql.autoBroadcastJoinThreshold"
     spark.conf.set(threshold, str(broadcast_bytes or -1))
-    got = flatten_pages(df, broadcast_bytes=broadcast_bytes, salts=4)
+    got = flatten_pages(df, broadcast_bytes=broadcast_bytes)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert ("SortMergeJoin" in plan) == (broadcast_bytes == 0)
     assert got.columns == ["request_id", "page_no", "v"]
@@ -218,8 +218,10 @@ def test_train_cohort(spark):
 
 
 def test_name_cohort(spark):
-    records = [card("a", name="Rowan's Oath"), card("b", name="Will"), card("c", name="GROWANT")]
-    assert _chosen(spark, records, "test") == ["a", "c"]
+    records = [card("a", name="Amber lamp"), card("b", name="Will"), card("c", name="CHAMBERS")]
+    assert _chosen(spark, records, "test", term="amber") == ["a", "c"]
+    with pytest.raises(ValueError):
+        cohort("test")
 
 
 def test_cohort_default_date_and_mode(spark):
