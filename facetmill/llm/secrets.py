@@ -62,7 +62,7 @@ _DUMMY = re.compile(r"(?i)^(?:none|null|nil|true|false|undefined|changeme|change
 
 _VALUE = r"""(?P<quoted>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)|(?P<bare>[^\s"'`,;(){}\[\]<>]+)"""
 _PAIR = re.compile(
-    r"""(?:\[\s*["'](?P<key>[\w.$-]+)["']\s*\]|["'](?P<word>[\w.$-]+)["']|(?P<name>[A-Za-z_$][\w.$-]*))"""
+    r"""(?:\[\s*["'](?P<key>[\w.$-]+)["']\s*\]|["'](?P<word>[\w.$-]+)["']|(?<![\w.$-])(?P<name>[A-Za-z_$][\w.$-]*))"""
     r"""\s{0,8}(?::\s{0,4}[A-Za-z_][\w.\[\]]*\s{0,4}(?==[^=>]))?(?:=>|:=|(?<![=!<>])=(?!=)|:(?![:=/]))[ \t]{0,8}(?:"""
     + _VALUE
     + r")",

@@ -104,7 +104,8 @@ def costs(counts: np.ndarray) -> list[list[list[float]]]:
 
 def decode(token: str, cost: list[list[list[float]]]) -> str:
     """The most likely word, or words, that the channel wrote as ``token``."""
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    # By the last two characters: cost, and what was written as (all before, last).
+    best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     before = ""
     for ch in token.lower():
         if ch.isalpha():
@@ -115,18 +116,23 @@ def decode(token: str, cost: list[list[list[float]]]) -> str:
             options = [("", _SKIP_COST), (" ", _BREAK_COST)]
         else:
             options = [(" ", 0.0)]
-        new: dict[tuple[int, int], tuple[float, str]] = {}
+        new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (c, out) in best.items():
             for x, extra in options:
                 if not x:
-                    key, total, text = (a, b), c + extra, out
+                    key, total, written = (a, b), c + extra, out
                 else:
                     k = _code(x)
-                    key, total, text = (b, k), c + extra + cost[a][b][k], out + x
-                if key not in new or (total, text) < new[key]:
-                    new[key] = total, text
+                    key, total, written = (b, k), c + extra + cost[a][b][k], (out, x)
+                if key not in new or total < new[key][0]:
+                    new[key] = total, written
         best, before = new, ch
-    return min((c + cost[a][b][0], out) for (a, b), (c, out) in best.items())[1].strip()
+    (a, b), (_, node) = min(best.items(), key=lambda item: item[1][0] + cost[item[0][0]][item[0][1]][0])
+    letters = []
+    while node:
+        node, x = node
+        letters.append(x)
+    return "".join(reversed(letters)).strip()
 
 
 def suspicious(text: str) -> set[str]:
