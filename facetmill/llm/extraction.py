@@ -52,7 +52,9 @@ _PARTS = frozenset(
     "alert alerts popup modal overlay sidebar sidebars nav navbar navigation menu menus breadcrumb breadcrumbs footer footers masthead toolbar comment comments commentlist disqus "
     "reply replies respond share sharing social related recommended newsletter subscribe subscription signup login search searchbox pagination pager contentinfo complementary skip".split()
 )
+_HEADS = frozenset(("header", "topbar", "banner"))
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_HIDDEN = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
 _SPACE = re.compile(r"\s+")
 _CUT_OFF = re.compile(r"<(?:[a-zA-Z/][^<>]*|!(?:-?-?|--(?:(?!-->).)*|[^<>-][^<>]*)|\?[^<>]*)?\Z", re.S)
 
@@ -61,11 +63,16 @@ def _marked(attributes: list[tuple[str, str | None]]) -> bool:
     for name, value in attributes:
         if value and name in ("class", "id", "role", "aria-label") and any(w.lower() in _PARTS for w in _WORD.findall(value)):
             return True
-        if name == "hidden" or name == "aria-hidden" and value == "true":
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and value and _HIDDEN.search(value):
             return True
     return False
 
 
+def _heads(attributes: list[tuple[str, str | None]]) -> bool:
+    """Whether class or id call an element the head of the page."""
+    return any(w.lower() in _HEADS for name, value in attributes if value and name in ("class", "id") for w in _WORD.findall(value))
+
+
 class _Lines(HTMLParser):
     """Blocks of text in page order, with tags before them, and the open elements around them."""
 
@@ -88,9 +95,14 @@ class _Lines(HTMLParser):
                 self.count = 0
 
     def _pop(self, at: int) -> None:
-        self._flush()
+        if self.stack[at][0] not in _INLINE:
+            self._flush()
         del self.stack[at:]
 
+    def _pop_inline(self) -> None:
+        while self.stack and self.stack[-1][0] in _INLINE:
+            self.stack.pop()
+
     def _close_within(self, tags: tuple[str, ...] | frozenset[str]) -> None:
         for at in range(len(self.stack) - 1, -1, -1):
             tag = self.stack[at][0]
@@ -105,9 +117,11 @@ class _Lines(HTMLParser):
         if tag in _INLINE and not _DROPPED & {tag}:
             if tag == "br":
                 self.text.append(" ")
-            elif tag != "img" and tag != "wbr" and _marked(attributes):
-                self._open(tag, True)
+            elif tag not in _VOID and _marked(attributes):
+                # Its text is passed over; the block around it goes on.
+                self.stack.append((tag, self.stack[-1][1] if self.stack else -1, True))
             return
+        self._pop_inline()
         self._flush()
         if tag in _CLOSES_P:
             self._close_within(("p",))
@@ -116,8 +130,11 @@ class _Lines(HTMLParser):
         if tag in _VOID:
             return
         dropped = tag in _DROPPED or tag not in ("body", "html", "article", "main") and _marked(attributes)
-        if tag == "header" and any(t in ("article", "main") for t, _, _ in self.stack):
+        within = any(t in ("article", "main") for t, _, _ in self.stack)
+        if tag == "header" and within:
             dropped = _marked(attributes)
+        elif not within and tag in ("div", "section") and _heads(attributes):
+            dropped = True
         self._open(tag, dropped)
 
     def _open(self, tag: str, dropped: bool) -> None:
@@ -134,6 +151,7 @@ class _Lines(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         self.count += 1
         if tag not in _INLINE:
+            self._pop_inline()
             self._flush()
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at][0] == tag:
@@ -143,7 +161,8 @@ class _Lines(HTMLParser):
         return None
 
     def handle_data(self, data: str) -> None:
-        self.text.append(data)
+        if not (self.stack and self.stack[-1][0] in _INLINE):
+            self.text.append(data)
 
 
 def content_lines(sizes: np.ndarray, tags: np.ndarray, sigma: float = SIGMA) -> np.ndarray:

@@ -127,6 +127,8 @@ def test_url_regression_separates_its_table(spark):
         ("<article><p>a &lt; b &#233;</p><!-- no", "a < b é"),
         ('<div id="top-menu">Menu</div><div><p>Long text that is the main part of this page.</p><p>Short.</p></div><div class="comments"><p>I agree with all of it, a lot of words.</p></div>', "Long text that is the main part of this page.\nShort."),
         ("<script>var x = '<p>no</p>'</script>", ""),
+        ('<article><p>x <span class="ad">buy <b>now</b></span> y<p>z <i class="ad">open<p>w</article>', "x y\nz\nw"),
+        ('<div class="site-header">Name</div><main><div class="entry-header"><h1>T</h1></div><p style="display:none">no</p><p>Yes.</p></main>', "T\nYes."),
         ("", ""),
         (None, ""),
     ],
