@@ -41,7 +41,7 @@ def digests(text: Column) -> Column:
     """Different 64-bit digests of the text's paragraphs, sorted."""
     lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x != "")
     parts = F.transform(lines, lambda x: F.when(F.char_length(x) > LONG_LINE, F.split(x, r"(?<=[.!?]) +")).otherwise(F.array(x)))
-    return F.array_sort(F.array_distinct(F.transform(F.flatten(parts), lambda x: F.xxhash64(x))))
+    return F.sort_array(F.array_distinct(F.transform(F.flatten(parts), lambda x: F.xxhash64(x))))
 
 
 def classes(own: Column) -> Column:

@@ -75,15 +75,16 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_document_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.withColumn("n_chars", F.char_length("text"))
     order = fingerprints.with_next(docs)
     # What the document before this one takes of it: as many characters as it replaces, and its digests.
-    wants = order.join(docs.select("doc_id", F.floor(F.col("n_chars") / 4).cast("int").alias("cut")), "doc_id")
+    wants = order.join(docs.select("doc_id", F.floor(F.char_length("text") / 4).cast("int").alias("cut")), "doc_id")
     wants = wants.select(F.col("next").alias("doc_id"), F.col("doc_id").alias("before"), "cut")
     heads = docs.join(wants, "doc_id").select(
         F.col("before").alias("doc_id"), "cut", F.substr("text", F.lit(1), F.col("cut")).alias("head"), fingerprints.digests(F.col("text")).alias("next_digests")
     )
-    joined = docs.join(heads, "doc_id").withColumn("edited", F.concat(F.substr("text", F.lit(1), F.col("n_chars") - F.col("cut")), F.col("head")))
+    # Both joins read the same columns of docs, so the texts are dealt out once.
+    joined = docs.join(heads, "doc_id").withColumn("n_chars", F.char_length("text"))
+    joined = joined.withColumn("edited", F.concat(F.substr("text", F.lit(1), F.col("n_chars") - F.col("cut")), F.col("head")))
     ready = joined.select(
         "doc_id",
         F.col("n_chars").cast("long").alias("n_chars"),
