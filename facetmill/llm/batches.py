@@ -7,16 +7,17 @@ follows the longest single text and not the batch.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Text bytes worked on at once.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 Work = Callable[..., Sequence[pa.Array]]
 
@@ -71,6 +72,18 @@ def add_columns(
     return df.select(*map(column, used)).mapInArrow(run, schema)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run inside hand at most ``rows`` rows at once to Python: for rows that each hold whole sets."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts on end, and where each begins and the last ends; null is empty."""
     if texts.null_count:

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 from collections import defaultdict
 
 import numpy as np
@@ -51,11 +52,17 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 @functools.cache
-def _encoders(path: str):
-    """The tokenizer of the file, and a faster encoder of the same vocabulary where there is one."""
+def _exact(path: str):
     from tokenizers import Tokenizer
 
-    exact = Tokenizer.from_file(path)
+    return Tokenizer.from_file(path)
+
+
+@functools.cache
+def _fast(path: str):
+    """A faster encoder of the file's vocabulary, where there is one, and the strings of its special tokens."""
+    with open(path) as file:
+        special = [token["content"] for token in json.load(file).get("added_tokens", ())]
     try:
         import public_tokenizers
         import tiktoken
@@ -65,14 +72,14 @@ def _encoders(path: str):
         fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     except (ImportError, FileNotFoundError):
         fast = None
-    return exact, fast, [t.content for t in exact.get_added_tokens_decoder().values()]
+    return fast, special
 
 
 def encode(path: str, text: str) -> np.ndarray:
     """Ids as the tokenizer of the file gives them, without special tokens of its own."""
-    exact, fast, special = _encoders(path)
+    fast, special = _fast(path)
     if fast is None or any(s in text for s in special):
-        return np.array(exact.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(_exact(path).encode(text, add_special_tokens=False).ids, np.uint32)
     return np.array(fast.encode_ordinary(text), np.uint32)
 
 
