@@ -10,13 +10,15 @@ union of its two sketches, and confirmed on the full sets.
   for a chance below 1e-5, more similar ones far more surely. Each document
   therefore goes only into the lists of its rarest values.
 * A list of at most ``LIST_ROWS`` documents gives all its pairs. A longer one gives
-  stars: each document is paired with one leader, drawn anew for each list and
-  round, within a band of set sizes. Only documents most of whose values are in
-  long lists can meet nowhere else, and only they take part.
-* Links become components; what is already connected is not compared again. Two
-  rounds of stars join nearly all of a large group. Last, documents that take part
-  are compared across components wherever they share one of their ``KEYED``
-  smallest values and enough of the others, so no list is too long.
+  a star: each document is paired with one leader, drawn anew for each list, within
+  a band of set sizes. Only documents most of whose values are in long lists can
+  meet nowhere else, and only they take part.
+* Links become components; what is already connected is not compared again. The
+  stars join most of a large group. Last, documents that take part are compared
+  across components wherever they share one of their ``KEYED``
+  smallest values. There the union sketch of ``DEEP`` values is compared within
+  the join, so that pairs of a large group that are not quite similar enough
+  never leave it.
 * A pair that joins nothing new is never verified: first comes the best partner of
   each document, then whatever is still open.
 
@@ -41,15 +43,17 @@ from pyspark.sql import types as T
 
 from facetmill.session import materialise
 
-from .batches import SPACED, Words, add_columns, column, mix, set_aside, slices
+from .batches import SPACED, Words, add_columns, batch_rows, column, let, mix, set_aside, slices
 from .components import extend
 
 WORDS = 5
 PERCENT = 80
-SKETCH, LISTED, SHARED, KEYED = 64, 32, 15, 10
+SKETCH, LISTED, SHARED, KEYED, DEEP = 64, 32, 15, 10, 256
 LIST_ROWS = 24
 # Bits of the filter of documents whose full sets are wanted, for each of them and at most.
 FILTER_BITS, FILTER_MOST = 16, 1 << 28
+# Rows handed to Python at once: some hold two full sets.
+BATCH_ROWS = 1_000
 # Standard errors by which an estimate may fall short of the threshold.
 SLACK = 4.5
 
@@ -164,11 +168,9 @@ def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "sa", "sb").mapInArrow(estimate, schema).filter(F.col("estimate") >= least)
 
 
-def _wanted(pairs: DataFrame) -> tuple[int, np.ndarray]:
-    """A filter of the documents of the pairs: bits by hash, a bounded number of them. It may let others through."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    n = pairs.count()
-    bits = 1 << min(max(16, (2 * FILTER_BITS * n).bit_length()), FILTER_MOST.bit_length() - 1)
+def _wanted(ids: DataFrame) -> tuple[int, np.ndarray]:
+    """A filter of the documents ``ids`` (id): bits by hash, a bounded number of them. It may let others through."""
+    bits = 1 << min(max(16, (FILTER_BITS * ids.count()).bit_length()), FILTER_MOST.bit_length() - 1)
     place = F.pmod(F.xxhash64("id"), F.lit(bits))
     words = ids.select((place / 64).cast("long").alias("word"), (place % 64).cast("int").alias("bit"))
     words = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
@@ -178,9 +180,9 @@ def _wanted(pairs: DataFrame) -> tuple[int, np.ndarray]:
     return bits, table
 
 
-def _sets_of(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """Full sets of the documents of the pairs; texts of all others are passed over where they are read."""
-    bits, table = _wanted(pairs)
+def _sets_of(ids: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """Full sets of the documents ``ids`` (id); texts of all others are passed over where they are read."""
+    bits, table = _wanted(ids)
     shared = docs.sparkSession.sparkContext.broadcast(table)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
     placed = docs.filter("doc_id is not null").select("doc_id", "text", place.alias("place"))
@@ -199,7 +201,8 @@ def _sets_of(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    sets = materialise(_sets_of(pairs, docs, words), "shingle-sets")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    sets = materialise(_sets_of(ids, docs, words), "shingle-sets")
     side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s{c}"))
     joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
     schema = T.StructType([joined.schema["a"], joined.schema["b"]])
@@ -245,43 +248,67 @@ def _ordered(met: DataFrame) -> DataFrame:
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _starred(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of each document of a list with the list's leader, a document of another component."""
-    draw = F.struct(F.xxhash64(F.lit(turn), "value", "band", "component"), F.xxhash64(F.lit(turn), "doc"), F.col("doc"))
-    leaders = rows.groupBy("value", "band").agg(F.min_by(F.struct("doc", "n", "component"), draw).alias("lead"))
-    met = rows.join(leaders, ["value", "band"]).filter(F.col("component") != F.col("lead.component"))
+def _starred(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each document of a list with the list's leader, drawn anew for each list."""
+    draw = F.struct(F.xxhash64("value", "band", "doc"), F.col("doc"))
+    leaders = rows.groupBy("value", "band").agg(F.min_by(F.struct("doc", "n"), draw).alias("lead"))
+    met = rows.join(leaders, ["value", "band"]).filter(F.col("doc") != F.col("lead.doc"))
     met = met.select(F.col("doc").alias("x"), F.col("n").alias("na"), F.col("lead.doc").alias("y"), F.col("lead.n").alias("nb"))
     return _ordered(met.filter(_near(percent)))
 
 
+def _similar(x: str, y: str, sizes: tuple[str, str], percent: int):
+    """Whether two bottom-k sketches (sorted arrays) may be those of similar sets: the estimate on their union's bottom-k.
+
+    Where the union holds both sets in full the estimate is exact and needs no slack.
+    """
+    goal = percent / 100
+    slack = SLACK * math.sqrt(goal * (1 - goal) / DEEP)
+
+    def judged(union):
+        k = F.least(F.size(union), F.lit(DEEP))
+        common = F.size(F.filter(F.array_intersect(x, y), lambda v: v <= F.element_at(union, k)))
+        whole = (F.size(union) <= DEEP) & (F.greatest(*sizes) <= DEEP)
+        return common / k >= F.when(whole, F.lit(goal - 1e-9)).otherwise(F.lit(goal - slack))
+
+    return let(F.sort_array(F.array_union(x, y)), judged)
+
+
 def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components of a list that share at least SHARED of LISTED values.
+    """Pairs (a, b) of different components of a list whose union sketch is similar enough.
 
-    A pair of documents meets in several lists; it comes from the first one alone.
+    A pair of documents meets in several lists; it is judged in one of them, drawn
+    by the pair, so that the work of a large group is spread over its lists.
     """
     side = lambda c: rows.select("value", "band", *[F.col(k).alias(f"{k}_{c}") for k in ("doc", "n", "component", "own_band", "top")])
-    size = F.least(F.least("n_x", "n_y"), F.lit(LISTED))
+    smallest = lambda c: F.slice(f"top_{c}", 1, KEYED)
+    drawn = lambda common: F.element_at(common, F.pmod(F.hash("doc_x", "doc_y"), F.size(common)) + 1)
+    # A cheap look at part of the sketches first: far below the threshold they share little.
+    some = F.size(F.array_intersect(F.slice("top_x", 1, LISTED), F.slice("top_y", 1, LISTED)))
     met = side("x").join(side("y"), ["value", "band"]).filter(
         (F.col("doc_x") < F.col("doc_y"))
         & (F.col("component_x") != F.col("component_y"))
         & (F.col("band") == F.greatest("own_band_x", "own_band_y"))
         & _near(percent, "n_x", "n_y")
-        & (F.col("value") == F.array_min(F.array_intersect("top_x", "top_y")))
-        & (F.size(F.array_intersect("top_x", "top_y")) >= F.floor(size * SHARED / LISTED))
+        & (F.col("value") == let(F.array_intersect(smallest("x"), smallest("y")), drawn))
+        & (some >= F.floor(F.least("n_x", "n_y", F.lit(LISTED)) * SHARED / LISTED))
+        & _similar("top_x", "top_y", ("n_x", "n_y"), percent)
     )
     return met.select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b"))
 
 
-def _tops(reps: DataFrame) -> DataFrame:
-    """doc, n and its LISTED smallest values as an array."""
-    schema = T.StructType([reps.schema["doc"], T.StructField("n", T.LongType()), T.StructField("top", T.ArrayType(T.LongType()))])
+def _deep(ids: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """doc, n and the DEEP smallest values as a sorted array for the documents ``ids`` (id)."""
+    sets = _sets_of(ids, docs, words)
+    schema = T.StructType([T.StructField("doc", docs.schema["doc_id"].dataType), T.StructField("n", T.LongType()), T.StructField("top", T.ArrayType(T.LongType()))])
 
     def work(batches):
         for batch in batches:
-            tops = [np.frombuffer(s, "<u4")[:LISTED].tolist() for s in batch.column("sketch").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("n"), pa.array(tops, pa.list_(pa.int64()))], schema.names)
+            sets = [np.frombuffer(s, np.uint64) for s in batch.column("shingles").to_pylist()]
+            tops = pa.array([np.frombuffer(_top(s[:DEEP]), "<u4").tolist() for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), tops], schema.names)
 
-    return reps.select("doc", "n", "sketch").mapInArrow(work, schema)
+    return sets.mapInArrow(work, schema).join(ids.withColumnRenamed("id", "doc"), "doc", "left_semi")
 
 
 def near_duplicate_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -290,6 +317,11 @@ def near_duplicate_classes(docs: DataFrame, words: int = WORDS, percent: int = P
     Two documents are linked if 100 * intersection >= percent * union of their
     sets; component_id is the smallest doc_id reachable over links.
     """
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        return _classes(docs, words, percent)
+
+
+def _classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     known = materialise(sketches(docs, words), "sketches")
     filled = known.filter("n_shingles > 0 and doc_id is not null")
     classes = filled.groupBy("digest").agg(
@@ -303,21 +335,21 @@ def near_duplicate_classes(docs: DataFrame, words: int = WORDS, percent: int = P
     short = side("a").join(side("b"), "value").filter((F.col("a") < F.col("b")) & _near(percent)).select("a", "b").distinct()
     dense = lists.filter((F.col("rows") > LIST_ROWS) & (F.col("hot") >= SHARED / LISTED))
     dense = materialise(_banded(dense.select("value", "doc", "n"), percent), "dense-lists")
-    first = _starred(dense.withColumn("component", F.col("doc")), 0, percent)
+    first = _starred(dense, percent)
     pairs = materialise(_estimated(short.unionByName(first), reps, percent), "estimates")
 
     # The best partner of each document joins most; the rest is verified only where it still matters.
     best = materialise(pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a")).select("a", "b"), "best-pairs")
     labels = extend(None, _verified(best, docs, words, percent))
-    again = _estimated(_starred(_unjoined(_labelled(dense, labels)), 1, percent), reps, percent)
-    rest = materialise(_open(pairs.select("a", "b"), labels).unionByName(again.select("a", "b")).distinct(), "open-pairs")
+    rest = materialise(_open(pairs.select("a", "b"), labels), "open-pairs")
     labels = extend(labels, _verified(rest, docs, words, percent))
 
     # Across components: every document that may meet others in long lists only.
-    keyed = _tops(reps.join(dense.select("doc").distinct(), "doc", "left_semi"))
+    several = _unjoined(_labelled(dense, labels)).select(F.col("doc").alias("id")).distinct()
+    keyed = _deep(materialise(several, "open-documents"), docs, words)
     keyed = keyed.withColumn("value", F.explode(F.slice("top", 1, KEYED)))
     keyed = materialise(_unjoined(_labelled(_banded(keyed, percent), labels)), "keyed-lists")
-    last = materialise(_estimated(_across(keyed, percent), reps, percent).select("a", "b"), "last-pairs")
+    last = materialise(_across(keyed, percent), "last-pairs")
     labels = extend(labels, _verified(last, docs, words, percent))
 
     # Only documents that are not their own component are told so.

@@ -78,7 +78,7 @@ def test_classes_match_brute_force(spark, seed, percent):
 def test_long_lists_lose_no_link(spark, monkeypatch):
     """With lists that count as long from five rows on, and stars that lead nowhere, the last comparison finds every link."""
     monkeypatch.setattr(neardup, "LIST_ROWS", 4)
-    monkeypatch.setattr(neardup, "_starred", lambda rows, turn, percent: rows.select(rows.doc.alias("a"), rows.doc.alias("b")).limit(0))
+    monkeypatch.setattr(neardup, "_starred", lambda rows, percent: rows.select(rows.doc.alias("a"), rows.doc.alias("b")).limit(0))
     rows = corpus(3)
     out = neardup.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string"), percent=85).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute(rows, 85)
