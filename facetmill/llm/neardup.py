@@ -48,7 +48,7 @@ from .components import extend
 
 WORDS = 5
 PERCENT = 80
-SKETCH, LISTED, SHARED, KEYED, DEEP = 64, 32, 15, 10, 256
+SKETCH, LISTED, SHARED, KEYED, DEEP = 64, 32, 15, 8, 256
 LIST_ROWS = 24
 # Bits of the filter of documents whose full sets are wanted, for each of them and at most.
 FILTER_BITS, FILTER_MOST = 16, 1 << 28
@@ -346,9 +346,8 @@ def _classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     # Across components: every document that may meet others in long lists only.
     several = _unjoined(_labelled(dense, labels)).select(F.col("doc").alias("id")).distinct()
-    keyed = _deep(materialise(several, "open-documents"), docs, words)
-    keyed = keyed.withColumn("value", F.explode(F.slice("top", 1, KEYED)))
-    keyed = materialise(_unjoined(_labelled(_banded(keyed, percent), labels)), "keyed-lists")
+    deep = materialise(_labelled(_deep(materialise(several, "open-documents"), docs, words), labels), "deep-sketches")
+    keyed = _banded(deep, percent).withColumn("value", F.explode(F.slice("top", 1, KEYED)))
     last = materialise(_across(keyed, percent), "last-pairs")
     labels = extend(labels, _verified(last, docs, words, percent))
 
