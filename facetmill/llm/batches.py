@@ -132,18 +132,21 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Words of a slice of texts: byte places, 64-bit hashes of their lower-case form, rows."""
+    """Words of a slice of texts: byte places, 64-bit hashes of their lower-case form, rows.
 
-    def __init__(self, texts: pa.Array, member: np.ndarray):
+    ``cuts``, given the bytes of all texts on end, says at which of them words are cut besides.
+    """
+
+    def __init__(self, texts: pa.Array, member: np.ndarray, cuts: Callable[[np.ndarray], np.ndarray] | None = None):
         self.data, self.offsets = utf8(texts)
         self.rows = len(texts)
         inside = member[self.data]
         n = len(inside)
         before, after = np.zeros(n, bool), np.zeros(n, bool)
         before[1:], after[:-1] = inside[:-1], inside[1:]
-        cuts = self.offsets[1:-1]
-        before[cuts[cuts < n]] = False
-        after[cuts[cuts > 0] - 1] = False
+        at = self.offsets[1:-1] if cuts is None else np.concatenate([self.offsets[1:-1], cuts(self.data)])
+        before[at[at < n]] = False
+        after[at[at > 0] - 1] = False
         self.starts = np.flatnonzero(inside & ~before)
         self.ends = np.flatnonzero(inside & ~after) + 1
         self.row = np.searchsorted(self.offsets, self.starts, "right") - 1

@@ -183,3 +183,30 @@ def test_packed_ids_give_back_the_documents(spark):
     for own in fill.values():
         own.sort()
         assert own[0][0] == 0 and all(a[0] + a[1] == b[0] for a, b in zip(own, own[1:])) and own[-1][0] + own[-1][1] <= 128
+
+
+def _labels(field, texts):
+    return field.label(pa.array(texts, pa.string()))[0].to_pylist()
+
+
+def test_inner_parts_of_long_words_are_read():
+    r = random.Random(5)
+    kinds = {"x": ["ka", "lo", "mi", "ru"], "y": ["sch", "ung", "eit", "ftp"]}
+    make = lambda k: "donaudampfsch" + "".join(r.choice(kinds[k]) for _ in range(5)) + "kapitan"
+    known = [(make(k), k) for k in "xy" * 40]
+    field = langid.Field(["x", "y"]).fit([t for t, _ in known], [k for _, k in known])
+    new = [(make(k), k) for k in "xy" * 20]
+    assert _labels(field, [t for t, _ in new]) == [k for _, k in new]
+
+
+def test_scripts_without_spaces_have_a_place_for_each_character():
+    text = "日本語のテキスト、ok ภาษาไทย 𠀀𠀁 déjà"
+    got = langid.words_of(pa.array([text, None, "語"]))
+    assert [got.text(i, 1).decode() for i in range(len(got.starts))] == [*"日本語のテキスト、", "ok", *"ภาษาไทย", *"𠀀𠀁", "déjà", "語"]
+    r = random.Random(6)
+    kinds = {"ja": "のはがをにとたてしい日本語学校", "zh": "的是了在有不这个们说中国语学校"}
+    make = lambda k: "学校" + "".join(r.choice(kinds[k]) for _ in range(40)) + "学校"
+    known = [(make(k), k) for k in ("ja", "zh") * 20]
+    field = langid.Field(["ja", "zh"]).fit([t for t, _ in known], [k for _, k in known])
+    new = [(make(k), k) for k in ("ja", "zh") * 20]
+    assert _labels(field, [t for t, _ in new]) == [k for _, k in new]
