@@ -9,8 +9,9 @@ character is a word.
 
 The field is fitted on a bounded sample of labelled texts: at most
 ``SAMPLE_ROWS`` of each language, chosen by a hash of the whole row. Lexicon and
-weights come from that sample, all else reads every row. At most ``MAX_LANGUAGES``
-languages are learned, the most frequent ones.
+weights come from that sample, all else reads every row. Every language that labels a
+text is learned; weights take a quarter of a MB of each task for a language, and time
+follows the square of their number.
 
 Texts are worked on in segments of equal length, all segments of a slice at once.
 The chain is not cut there: a first pass gives each segment's transfer matrix,
@@ -36,7 +37,6 @@ from pyspark.sql import types as T
 from .batches import ALPHANUMERIC, Words, add_columns, mix, set_aside
 
 SAMPLE_ROWS = 250
-MAX_LANGUAGES = 64
 FEATURES = 1 << 16
 SEGMENT = 128
 # Languages up to which texts are worked on in segments.
@@ -291,16 +291,16 @@ class Field:
         return [pa.array(names, pa.string()), pa.array(np.clip(score, 0, 1))]
 
 
-def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_languages: int = MAX_LANGUAGES) -> Field:
+def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field:
     """A field fitted on at most ``sample_rows`` texts of each language of ``labelled`` (text, lang, any others)."""
     rows = labelled.filter("text is not null and lang is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return Field([])
     # Drawn by a hash of the row, so large groups of copies are thinned like all others.
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (1.5 * sample_rows + 40) / n))])
     draw = F.pmod(F.xxhash64(*labelled.columns), F.lit(1_000_000)) / 1e6
-    drawn = rows.filter(F.col("lang").isin(*counts)).filter(draw < F.coalesce(share[F.col("lang")], F.lit(0.0)))
+    drawn = rows.filter(draw < share[F.col("lang")])
     order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
     sample = drawn.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_rows).orderBy("lang", "n").collect()
     return Field(sorted(counts)).fit([r["text"] for r in sample], [r["lang"] for r in sample])

@@ -210,3 +210,10 @@ def test_scripts_without_spaces_have_a_place_for_each_character():
     field = langid.Field(["ja", "zh"]).fit([t for t, _ in known], [k for _, k in known])
     new = [(make(k), k) for k in ("ja", "zh") * 20]
     assert _labels(field, [t for t, _ in new]) == [k for _, k in new]
+
+
+def test_no_language_is_out_of_reach(spark):
+    names = [chr(97 + k // 10) * 3 + "bcdfghjklm"[k % 10] for k in range(80)]
+    rows = [(f"{w}a {w}o {w}ei {w}un", f"l{k:02}") for k, w in enumerate(names) for _ in range(2 if k < 70 else 1)]
+    field = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert _labels(field, [t for t, _ in rows]) == [k for _, k in rows]
