@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -63,7 +65,7 @@ _DUMMY = re.compile(r"(?i)^(?:none|null|nil|true|false|undefined|changeme|change
 _VALUE = r"""(?P<quoted>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)|(?P<bare>[^\s"'`,;(){}\[\]<>]+)"""
 _PAIR = re.compile(
     r"""(?:\[\s*["'](?P<key>[\w.$-]+)["']\s*\]|["'](?P<word>[\w.$-]+)["']|(?<![\w.$-])(?P<name>[A-Za-z_$][\w.$-]*))"""
-    r"""\s{0,8}(?::\s{0,4}[A-Za-z_][\w.\[\]]*\s{0,4}(?==[^=>]))?(?:=>|:=|(?<![=!<>])=(?!=)|:(?![:=/]))[ \t]{0,8}(?:"""
+    r"""\s*+(?::\s*+[A-Za-z_][\w.\[\]]*+\s*+(?==[^=>]))?(?:=>|:=|(?<![=!<>])=(?!=)|:(?![:=/]))[ \t]*+(?:"""
     + _VALUE
     + r")",
     re.A,
@@ -126,8 +128,11 @@ def find(text: str) -> list[tuple[str, int, int, int, float]]:
     # Lexed only where some name can be sensitive at all.
     if ("=" in text or ":" in text) and any(p in low for p in _STEMS):
         base = sorted((s, e) for _, s, e, _, _ in spans)
+        reach = list(accumulate((e for _, e in base), max))
         for s, e, score in literals(text):
-            if not any(a < e and s < b for a, b in base):
+            # Base spans that begin no later: some one reaches its end, or it is not inside any.
+            k = bisect_right(base, (s, math.inf))
+            if not k or reach[k - 1] < e:
                 spans.append(("literal", s, e, s, score))
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0])))
 

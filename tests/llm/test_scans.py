@@ -139,3 +139,16 @@ def test_main_text(html, text):
 
 def test_deep_nesting_is_no_problem():
     assert extraction.main_text("<div>" * 5000 + "text" + "</div>" * 5000) == "text"
+
+
+def test_literals_beyond_a_base_span_are_kept(spark):
+    texts = ['password = "Tr0ub4dor&3#xY9!kk" z', 'signing_key = "ZZtop!0123456789abcdef01234567Qx#9" z', 'token = "abcdefgh12" z']
+    found = [[t[v:e] for k, _, e, v, _ in secrets.find(t) if k == "literal"] for t in texts]
+    assert found == [["Tr0ub4dor&3#xY9!kk"], ["ZZtop!0123456789abcdef01234567Qx#9"], []]
+    out = secrets.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["text"] for r in out] == ['password = "[SECRET]" z', 'signing_key = "[SECRET]" z', 'token = "[SECRET]" z']
+
+
+def test_aligned_assignments_are_read():
+    for text in ('private_key         = "Zx8kQ29vTmPq"', "db_pwd:          Zx8kQ29vTmPq", "db_pwd\t:      str      =" + " " * 50 + "Zx8kQ29vTmPq"):
+        assert ["Zx8kQ29vTmPq"] == [text[s:e] for _, s, e, _, _ in secrets.find(text)]
