@@ -1,11 +1,12 @@
 """Licence scans with a positional index of rare template words, in DataFrame functions only.
 
 A first pass counts in how many documents each template word occurs. In the second
-one, a document's rarest licence words are looked up in the templates' postings;
-each posting votes for the place at which its template would begin. The place
-with most votes is where a template stands, if its mandatory key phrases are
-found in the words there. Documents without any anchor word (one of each
-template's key phrases) cannot hold a template and are not aligned.
+one, the rarest words of each template that a document holds are looked up in the
+template's postings; each posting votes for the place at which the template would
+begin. A template stands at each place with enough votes at which its mandatory key
+phrases are found in the words there. Documents without any anchor word (one of each
+template's key phrases) cannot hold a template and are not aligned, nor is a
+template without all words of its key phrases.
 
 Phrases in ``BASE_PHRASES`` are found at all their places besides, and always give
 their label.
@@ -29,6 +30,7 @@ from .batches import column, let, others
 # Base phrases and their labels.
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
+# Rarest words of each template that vote.
 RARE_WORDS = 12
 # Words by which a template may be off its place: what was put in or left out.
 SLACK = 6
@@ -152,62 +154,43 @@ def _numbered(word: str):
 
 def _aligned(words: Column, templates: tuple[Template, ...], idf: dict[str, float]) -> Column:
     """(label, coverage) of each template that stands somewhere in the words and has its key phrases there."""
-    vocabulary = sorted(idf)
-    postings = F.create_map(
-        *[
-            x
-            for w in vocabulary
-            for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, own in enumerate(templates) for p, v in enumerate(own.words) if v == w]))
-        ]
-    )
-    weight = F.create_map(*[x for w in vocabulary for x in (F.lit(w), F.lit(idf[w]))])
-    hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: F.array_contains(_strings(vocabulary), h["w"]))
+    hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: F.array_contains(_strings(sorted(idf)), h["w"]))
 
-    def rarest(hits: Column) -> Column:
+    def standing(hits: Column) -> Column:
         own = F.array_distinct(F.transform(hits, lambda h: h["w"]))
-        ranked = F.array_sort(F.transform(own, lambda w: F.struct((-weight[w]).alias("r"), w.alias("w"))))
-        return F.transform(F.slice(ranked, 1, RARE_WORDS), lambda x: x["w"])
-
-    def voted(hits: Column, rare: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                F.filter(hits, lambda h: F.array_contains(rare, h["w"])),
-                lambda h: F.transform(postings[h["w"]], lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["p"]).alias("at"))),
-            )
-        )
-
-    def standing(rare: Column, votes: Column) -> Column:
-        return F.array(*[_standing(words, rare, votes, k, t) for k, t in enumerate(templates)])
-
-    found = let(hits, lambda h: let(rarest(h), lambda rare: let(voted(h, rare), lambda votes: standing(rare, votes))))
-    return F.filter(found, lambda x: x["coverage"] >= MIN_COVERAGE)
-
-
-def _standing(words: Column, rare: Column, votes: Column, k: int, t: Template) -> Column:
-    """The template's label, and its share of the votes it could have at its best place; 0 without its key phrases."""
-    start = F.struct(F.lit(None).cast("int").alias("at"), F.lit(0).alias("run"), F.lit(0).alias("best"), F.lit(0).alias("place"))
-
-    def step(acc: Column, v: Column) -> Column:
-        run = F.when(v["at"] == acc["at"], acc["run"] + 1).otherwise(F.lit(1))
-        return F.struct(
-            v["at"].alias("at"), run.alias("run"), F.greatest(run, acc["best"]).alias("best"),
-            F.when(run > acc["best"], v["at"]).otherwise(acc["place"]).alias("place"),
-        )
-
-    best = F.aggregate(F.array_sort(F.filter(votes, lambda v: v["t"] == k)), start, step)
-
-    def judged(b: Column) -> Column:
-        window = F.concat(F.lit(" "), F.array_join(F.slice(words, F.greatest(b["place"] - SLACK, F.lit(0)) + 1, len(t.words) + 2 * SLACK), " "), F.lit(" "))
-        keyed = F.lit(True)
-        for phrase in t.keys:
-            keyed = keyed & F.contains(window, F.lit(f" {phrase} "))
+        return let(own, lambda own: F.array(*[_standing(words, hits, own, t, idf) for t in templates]))
+
+    return F.filter(let(hits, standing), lambda x: x["coverage"] >= MIN_COVERAGE)
+
+
+def _standing(words: Column, hits: Column, own: Column, t: Template, idf: dict[str, float]) -> Column:
+    """The template's label, and the largest share of the votes it could have at a place with its key phrases; 0 without any."""
+    ranked = sorted(set(t.words), key=lambda w: (-idf[w], w))
+    postings = F.create_map(*[x for w in ranked for x in (F.lit(w), F.array(*[F.lit(p) for p, v in enumerate(t.words) if v == w]))])
+    key_words = {w for k in t.keys for w in k.split()}
+
+    def votes(rare: Column) -> Column:
+        voting = F.filter(hits, lambda h: F.array_contains(rare, h["w"]))
+        return F.array_sort(F.flatten(F.transform(voting, lambda h: F.transform(postings[h["w"]], lambda p: h["i"] - p))))
+
+    def keyed(at: Column) -> Column:
+        window = F.concat(F.lit(" "), F.array_join(F.slice(words, F.greatest(at - SLACK, F.lit(0)) + 1, len(t.words) + 2 * SLACK), " "), F.lit(" "))
+        return let(window, lambda x: F.forall(_strings(t.keys), lambda k: F.contains(x, F.concat(F.lit(" "), k, F.lit(" ")))))
+
+    def best(rare: Column, at: Column) -> Column:
         possible = F.size(F.filter(_strings(t.words), lambda w: F.array_contains(rare, w)))
-        return F.struct(
-            F.lit(t.label).alias("label"),
-            F.when((b["best"] > 0) & keyed, b["best"] / F.greatest(possible, F.lit(1))).otherwise(F.lit(0.0)).alias("coverage"),
-        )
+        firsts = F.filter(F.transform(at, lambda x, i: F.when(~F.get(at, i - 1).eqNullSafe(x), i)), lambda i: i.isNotNull())
+
+        def shares(firsts: Column, possible: Column) -> Column:
+            runs = F.transform(firsts, lambda i, k: F.struct(F.get(at, i).alias("at"), ((F.coalesce(F.get(firsts, k + 1), F.size(at)) - i) / possible).alias("share")))
+            return F.transform(F.filter(runs, lambda r: (r["share"] >= MIN_COVERAGE) & keyed(r["at"])), lambda r: r["share"])
+
+        return let(possible, lambda n: let(firsts, lambda f: F.array_max(shares(f, n))))
 
-    return let(best, judged)
+    rare = F.slice(F.array_intersect(_strings(ranked), own), 1, RARE_WORDS)
+    there = F.size(F.array_intersect(_strings(sorted(key_words)), own)) == len(key_words)
+    coverage = F.when(there, let(rare, lambda r: let(votes(r), lambda at: best(r, at))))
+    return F.struct(F.lit(t.label).alias("label"), F.coalesce(coverage, F.lit(0.0)).alias("coverage"))
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, keep: list[str] | None = None) -> DataFrame:

@@ -152,3 +152,16 @@ def test_literals_beyond_a_base_span_are_kept(spark):
 def test_aligned_assignments_are_read():
     for text in ('private_key         = "Zx8kQ29vTmPq"', "db_pwd:          Zx8kQ29vTmPq", "db_pwd\t:      str      =" + " " * 50 + "Zx8kQ29vTmPq"):
         assert ["Zx8kQ29vTmPq"] == [text[s:e] for _, s, e, _, _ in secrets.find(text)]
+
+
+def test_many_notices_in_one_document_keep_their_labels(spark):
+    own = {}
+    for t in licenses.TEMPLATES:
+        own[t.label] = " ".join(t.words)  # the last one of each label
+    other = "the mozilla public license is named here and no more words of it " * 3
+    rows = [(1, "\n".join(f"{text}. Some more words stand between." for text in own.values())), (2, other + own["mpl"]), (3, own["mpl"] + ". " + other)]
+    # A place with more votes and without the key phrase comes first.
+    rows.append((4, "this source code form is subject to the terms of the mozilla license v 2 0. " + " ".join(["filler"] * 30) + " this source code form is under the terms of the mozilla public license v 2 0"))
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), keep=["doc_id"]).collect()}
+    assert got[1]["labels"] == sorted(own)
+    assert all(got[k]["labels"] == ["mpl"] for k in (2, 3, 4))
