@@ -4,8 +4,8 @@ The standard library's streaming parser gives events; from them come lines, one
 for each block of text, with the number of tags met on the way to it. The ratio
 of text to tags is smoothed over the lines by a Gaussian and cut at a threshold
 drawn from its spread: what lies above are content lines. The region is the
-smallest container that holds most of their text, or the article or main element
-among those around it. All blocks of the region are the main text, short ones too,
+smallest container that holds all of them, an article or main element included.
+All blocks of the region are the main text, short ones too,
 but for what stands in menus, headers, footers, sidebars, notices, adverts, forms
 and comments.
 
@@ -30,8 +30,6 @@ from .batches import add_columns
 ADDED = T.StructType([T.StructField("main_text", T.StringType())])
 
 SIGMA = 1.5
-# Share of the content lines' text that a region must hold.
-REGION_SHARE = 0.7
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
@@ -179,20 +177,13 @@ def _region(page: _Lines, lines: list[tuple[str, int, int, bool]]) -> int:
     """Number of the element that is the content region, -1 for the whole page."""
     sizes = np.array([len(x[0]) for x in lines], float)
     good = content_lines(sizes, np.array([x[1] for x in lines], float))
-    inside: dict[int, float] = {}
-    for (_, _, element, _), size, ok in zip(lines, sizes, good):
+    inside: dict[int, int] = {}
+    for (_, _, element, _), ok in zip(lines, good):
         while ok and element >= 0:
-            inside[element] = inside.get(element, 0.0) + size
+            inside[element] = inside.get(element, 0) + 1
             element = page.parent[element]
-    total = float(sizes[good].sum())
-    named = {t: [e for e in inside if page.tags[e] == t] for t in ("article", "main")}
-    for kind in ("article", "main"):
-        best = max(named[kind], key=lambda e: (inside[e], -e), default=None)
-        if best is not None and (inside[best] >= REGION_SHARE * total or kind == "main" or not named["main"] and inside[best] >= 0.3 * total):
-            return best
-    holding = [e for e, size in inside.items() if size >= REGION_SHARE * total]
     # Numbers grow inwards: the last one is the smallest container.
-    blocks = [e for e in holding if page.tags[e] not in ("p", "li", "td", "th", "tr", "pre", "blockquote", "dd", "dt", "ul", "ol", *_HEADINGS)]
+    blocks = [e for e, n in inside.items() if n == good.sum() and page.tags[e] not in ("p", "li", "td", "th", "tr", "pre", "blockquote", "dd", "dt", "ul", "ol", *_HEADINGS)]
     return max(blocks, default=-1)
 
 

@@ -165,3 +165,13 @@ def test_many_notices_in_one_document_keep_their_labels(spark):
     got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), keep=["doc_id"]).collect()}
     assert got[1]["labels"] == sorted(own)
     assert all(got[k]["labels"] == ["mpl"] for k in (2, 3, 4))
+
+
+def test_no_content_line_is_left_out_of_the_region():
+    paragraphs = [f"Paragraph {k} has as many words in it as all the others of this page have." for k in range(11)]
+    p = [f"<p>{x}</p>" for x in paragraphs]
+    ad = '<div class="ad">Buy now</div>'
+    for one, two in (("div", "div"), ("main", "div"), ("article", "article"), ("article", "section")):
+        for cut in (8, 2):
+            page = f"<body><nav>Menu</nav><{one}>{''.join(p[:cut])}</{one}>{ad}<{two}>{''.join(p[cut:])}</{two}></body>"
+            assert extraction.main_text(page) == "\n".join(paragraphs)
