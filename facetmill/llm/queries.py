@@ -1,13 +1,15 @@
-"""The ten operators over their whole tables, with the columns their contracts name."""
+"""The operators over their whole tables, with the columns their contracts name."""
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetmill.session import materialise
 
-from . import decontamination, extraction, fingerprints, langid, licenses, neardup, packing, secrets, toxicity, urls
+from . import decontamination, extraction, fingerprints, langid, licenses, manifest, neardup, packing, secrets, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -130,6 +132,21 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
 
 
+# The fields of a document's leaf, in the order in which they are hashed.
+LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(*LEAF_FIELDS)
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    changed = manifest.leaf_digest([lower if c == "text" else F.col(c) for c in LEAF_FIELDS])
+    # The leaf as it is found later: that of a tampered text, or null where nothing was touched.
+    leaves = manifest.leaves_of(docs, LEAF_FIELDS, tampered=F.when(_remainder(3) == 0, changed))
+    built = manifest.build(leaves).withColumn("found", F.coalesce("tampered", "leaf"))
+    proof = F.sha2(manifest.proof(F.col("path")), 256).alias("proof_sha256")
+    return manifest.verified(built, "found").select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -143,5 +160,6 @@ QUERIES = {
         op8_language_id,
         op9_benchmark_decontamination,
         op10_html_extraction,
+        op11_merkle_manifest,
     )
 }
