@@ -38,10 +38,12 @@ def others(df: DataFrame, names: Sequence[str]) -> list[str]:
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive slices of at most ``limit`` text bytes, one row at least."""
+    """Consecutive slices of at most ``limit`` bytes of text (or of a list's numbers), one row at least."""
     if not batch.num_rows:
         return
-    size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    held = batch.column(text)
+    size = pc.multiply(pc.list_value_length(held), 4) if pa.types.is_list(held.type) else pc.binary_length(held)
+    size = pc.fill_null(size, 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(size, dtype=np.int64)
     first = 0
     while first < batch.num_rows:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from facetmill.session import materialise
 
-from . import decontamination, extraction, fingerprints, langid, licenses, manifest, neardup, packing, secrets, toxicity, urls
+from . import bpe, decontamination, extraction, fingerprints, langid, licenses, manifest, neardup, packing, secrets, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -147,6 +147,16 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verified(built, "found").select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof, "folded_root", "verified")
 
 
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    return bpe.decode(encoded).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -161,5 +171,6 @@ QUERIES = {
         op9_benchmark_decontamination,
         op10_html_extraction,
         op11_merkle_manifest,
+        op12_bpe_codec,
     )
 }
