@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetmill.session import materialise
 
-from . import bpe, decontamination, extraction, fingerprints, langid, licenses, manifest, neardup, packing, secrets, toxicity, urls
+from . import bpe, decontamination, extraction, fingerprints, langid, licenses, manifest, neardup, packing, runs, secrets, toxicity, urls
+from .batches import let
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -157,6 +158,39 @@ def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _planted(text: Column) -> Column:
+    """The text whose words from a on repeat p of them, for documents whose checksum ends in 0: a and p follow from it."""
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+    def repeated(w: Column) -> Column:
+        n, g = F.size(w), F.floor(checksum / 10)
+        first = (g % n).cast("int")
+        period = (1 + F.floor((n - first) / (3 + g % 8))).cast("int")
+        return F.array_join(F.transform(w, lambda x, i: F.when(i < first, x).otherwise(F.get(w, first + (i - first) % period))), " ")
+
+    return F.when((checksum % 10 == 0) & (F.size(words) > 0), let(words, repeated)).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", _planted(F.coalesce("text", F.lit(""))).alias("text"))
+    found = runs.collapse_runs(docs, keep=["doc_id"])
+    # The smallest of these is the longest run; of equal ones the first, of those the shorter period.
+    ranked = F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period")))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("best")
+    return found.withColumn("best", F.array_min(ranked)).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        (-best["shorter"]).alias("length"),
+        best["period"].alias("period"),
+        F.floor(-best["shorter"] * 1000 / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -172,5 +206,6 @@ QUERIES = {
         op10_html_extraction,
         op11_merkle_manifest,
         op12_bpe_codec,
+        op13_periodic_runs,
     )
 }
