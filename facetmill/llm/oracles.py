@@ -42,4 +42,49 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_minhash_near_dedup": OP1, "op9_benchmark_decontamination": OP9}
+_UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+# crc32 of a number's digits: each byte is followed by eight shifts, marked -1.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(split(doc_id::VARCHAR, ''),
+    lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, b: CASE WHEN b < 0 THEN xor(a >> 1, 3988292384 * (a & 1)) ELSE xor(a, b) END), 4294967295)"""
+
+
+def _leaf(text: str) -> str:
+    fields = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Levels of 8-ary trees over ``leaves`` (g, i, node), and the siblings of each node that has a run above it."""
+    return f"""
+{name}(g, level, i, node, n) AS (
+  SELECT g, 0::BIGINT, i, node, count(*) OVER (PARTITION BY g) FROM ({leaves})
+  UNION ALL
+  SELECT g, level + 1, i // 8, sha256(string_agg(node, '' ORDER BY i)), any_value((n + 7) // 8) FROM {name} WHERE n > 1 GROUP BY g, level, i // 8),
+{name}_steps AS (
+  SELECT g, level, i, coalesce(string_agg(node, '') OVER before, '') AS l, coalesce(string_agg(node, '') OVER after, '') AS r FROM {name} WHERE n > 1
+  WINDOW before AS (PARTITION BY g, level, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    after AS (PARTITION BY g, level, i // 8 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))"""
+
+
+OP11 = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, {_leaf('text')} AS leaf,
+    CASE WHEN {_CRC32} % 3 = 0 THEN {_leaf(f"translate(text, {_UPPER}, {_LOWER})")} END AS tampered FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM hashed),
+{_tree("tree", "SELECT g, i, leaf AS node FROM leaves")},
+subroots AS (SELECT g, node AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS i FROM tree WHERE n = 1),
+{_tree("top", "SELECT '' AS g, i, subroot AS node FROM subroots")},
+steps AS (
+  SELECT doc_id, v.i, 0 AS part, level, l, r FROM leaves v JOIN tree_steps s ON s.g = v.g AND s.i = v.i // (8 ** level)::BIGINT
+  UNION ALL
+  SELECT doc_id, v.i, 1, level, l, r FROM leaves v JOIN subroots USING (g) JOIN top_steps s ON s.i = subroots.i // (8 ** level)::BIGINT),
+paths AS (SELECT doc_id, string_agg(l || r, '' ORDER BY part, level) AS p, list(l || '|' || r ORDER BY part, level) AS path FROM steps GROUP BY doc_id),
+folded AS (
+  SELECT doc_id, leaf, subroot, (SELECT node FROM top WHERE n = 1) AS root, sha256(coalesce(p, '')) AS proof_sha256,
+    list_reduce(list_prepend(coalesce(tampered, leaf), coalesce(path, [])), lambda a, b: sha256(split_part(b, '|', 1) || a || split_part(b, '|', 2))) AS folded_root
+  FROM leaves JOIN subroots USING (g) LEFT JOIN paths USING (doc_id))
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
+"""
+
+ORACLE_SQL = {"op1_minhash_near_dedup": OP1, "op9_benchmark_decontamination": OP9, "op11_merkle_manifest": OP11}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from facetmill.llm import decontamination, extraction, fingerprints, langid, licenses, neardup, packing, secrets, toxicity, urls
+from facetmill.llm import bpe, decontamination, extraction, fingerprints, langid, licenses, manifest, neardup, packing, runs, secrets, toxicity, urls
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_words long, score double, kept boolean, digests string, host string"
 PROSE = "the quick brown fox jumps over the lazy dog while seven wizards mix potions at night "
@@ -59,10 +59,13 @@ def _operators(spark, benchmark):
         "extract": lambda d: extraction.extract(d, html="text"),
         "urls": lambda d: urls.judge(d.withColumnRenamed("text", "url"), weights),
         "cut": lambda d: decontamination.cut_contaminated(d, benchmark),
+        "encode": bpe.encode,
+        "decode": lambda d: bpe.decode(bpe.encode(d)),
+        "collapse_runs": runs.collapse_runs,
     }
 
 
-NAMES = ["scan_documents", "identify", "secrets", "redact", "toxicity", "licenses", "fingerprint", "extract", "urls", "cut"]
+NAMES = ["scan_documents", "identify", "secrets", "redact", "toxicity", "licenses", "fingerprint", "extract", "urls", "cut", "encode", "decode", "collapse_runs"]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -108,6 +111,14 @@ def test_values_of_odd_texts(spark, docs, benchmark):
     assert prints[1]["fingerprint"] == prints[2]["fingerprint"] and prints[4]["fingerprint"] == prints[5]["fingerprint"]
 
 
+def test_manifest_of_odd_rows(spark, docs, empty):
+    fields = ("doc_id", "text", "lang", "source", "n_words", "score", "kept", "digests", "host")
+    built = manifest.verified(manifest.build(manifest.leaves_of(docs, fields))).collect()
+    assert len(built) == len(ROWS) and all(r["verified"] for r in built)
+    assert len({r["root"] for r in built}) == 1 and len({r["subroot"] for r in built}) == 3
+    assert manifest.build(manifest.leaves_of(empty, fields)).collect() == []
+
+
 def test_packing_of_odd_texts(spark, docs, empty):
     pieces = packing.pack_documents(docs)
     rows = pieces.collect()
