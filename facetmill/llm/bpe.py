@@ -272,6 +272,6 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None, keep:
         lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
         row = np.repeat(np.arange(len(lists)), lengths)[found.is_valid().to_numpy(zero_copy_only=False)]
         counts = np.bincount(row, minlength=len(lists))
-        return [pc.binary_join(pa.LargeListArray.from_arrays(np.cumsum([0, *counts]), found.drop_null()), " ").cast(pa.string())]
+        return [pc.binary_join(pa.LargeListArray.from_arrays(np.cumsum([0, *counts]), found.drop_null()), pa.scalar(" ", pa.large_string())).cast(pa.string())]
 
     return add_columns(encoded, ids, DECODED, work, keep)
