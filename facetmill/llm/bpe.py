@@ -45,9 +45,9 @@ from pyspark.sql import types as T
 from .batches import add_columns, utf8
 
 # Bytes of text pieces whose ids a worker keeps.
-KEPT_BYTES = 8 << 20
+KEPT_BYTES = 4 << 20
 # Pairs of tokens whose verdict a worker keeps.
-KEPT_PAIRS = 1 << 18
+KEPT_PAIRS = 1 << 17
 
 IDS = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
 DECODED = T.StructType([T.StructField("decoded", T.StringType())])
@@ -104,6 +104,7 @@ class Vocabulary:
                 node = after
             self.length[token] = len(spelled[token])
             own[node] = ((token, self.length[token]),)
+        self.spelled = {token: token.to_bytes(4, "little") for token in self.length}
         self.back, self.ending = [0] * len(own), own
         queue = list(self.step[0].values())
         for node in queue:
@@ -135,10 +136,10 @@ class Vocabulary:
                 return True
             x, x_used = self.parts[x][1], self.rank[x]
 
-    def encode(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
-        """The ids of each word, by one depth-first walk over the trie of all of them."""
+    def encode(self, words: Iterable[str]) -> dict[str, bytes]:
+        """The ids of each word as little-endian 32-bit numbers, by one depth-first walk over the trie of all of them."""
         step, back, ending, apart, length_of, end = self.step, self.back, self.ending, self.apart, self.length, self.end
-        out: dict[str, tuple[int, ...]] = {"": ()}
+        spelled, out = self.spelled, {"": b""}
         # By depth: the last token of the prefix, and the longest ending of it that is in the vocabulary's trie.
         before, last, nodes = "", [-1], [0]
         for word in sorted(set(words).difference(out)):
@@ -161,9 +162,9 @@ class Vocabulary:
                 nodes.append(node)
             before, ids = word, []
             while depth:
-                ids.append(last[depth])
+                ids.append(spelled[last[depth]])
                 depth -= length_of[last[depth]]
-            out[word] = tuple(ids[::-1])
+            out[word] = b"".join(ids[::-1])
         return out
 
 
@@ -192,11 +193,9 @@ class Encoder:
         self.special = {t["content"].encode(): t["id"] for t in added}
         longest = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.special_at = re.compile(b"(" + b"|".join(longest) + b")") if longest else None
-        names = {i: s for s, i in model["vocab"].items()} | {t["id"]: t["content"] for t in added}
-        self.names = pa.array([names.get(i) for i in range(max(names) + 1)], pa.large_string())
         # What the worker has met: pieces since the last change, and those of the time before.
-        self.kept: dict[bytes, tuple[int, ...]] = {}
-        self.older: dict[bytes, tuple[int, ...]] = {}
+        self.kept: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.kept_bytes = 0
 
     def _words(self, piece: bytes) -> list[str]:
@@ -210,10 +209,10 @@ class Encoder:
         parts = self.special_at.split(text)
         return [x for k, part in enumerate(parts) for x in ([part] if k % 2 else cut_apart(part).split())]
 
-    def encode(self, texts: Sequence[bytes]) -> list[list[int]]:
+    def encode(self, texts: Sequence[bytes]) -> list[np.ndarray]:
         """Ids of texts in UTF-8."""
         if self.kept_bytes > KEPT_BYTES // 2 or not self.kept:
-            self.older, self.kept, self.kept_bytes = self.kept, {s: (i,) for s, i in self.special.items()}, 0
+            self.older, self.kept, self.kept_bytes = self.kept, {s: i.to_bytes(4, "little") for s, i in self.special.items()}, 0
         pieces = list(map(self._pieces, texts))
         missing = set(chain.from_iterable(pieces)).difference(self.kept)
         new = {piece: self._words(piece) for piece in missing.difference(self.older)}
@@ -223,9 +222,9 @@ class Encoder:
             if words is None:
                 self.kept[piece] = self.older[piece]
             else:
-                self.kept[piece] = ids[words[0]] if len(words) == 1 else tuple(i for w in words for i in ids[w])
+                self.kept[piece] = ids[words[0]] if len(words) == 1 else b"".join(map(ids.__getitem__, words))
             self.kept_bytes += len(piece)
-        return [list(chain.from_iterable(map(self.kept.__getitem__, own))) for own in pieces]
+        return [np.frombuffer(b"".join(map(self.kept.__getitem__, own)), "<i4") for own in pieces]
 
 
 _LETTER = np.array([chr(b).isascii() and chr(b).isalpha() for b in range(256)])
@@ -243,6 +242,15 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+@functools.cache
+def token_names(path: str) -> pa.Array:
+    """The string of every id of a file, null where there is none."""
+    with open(path) as file:
+        held = json.load(file)
+    names = {i: s for s, i in held["model"]["vocab"].items()} | {t["id"]: t["content"] for t in held.get("added_tokens") or []}
+    return pa.array([names.get(i) for i in range(max(names) + 1)], pa.large_string())
+
+
 def _offsets(lengths: Iterable[int]) -> pa.Array:
     return pa.array(np.cumsum([0, *lengths]), pa.int32())
 
@@ -254,7 +262,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, keep: S
     def work(texts: pa.Array) -> list[pa.Array]:
         data, offsets = utf8(texts)
         ids = encoder(path).encode([data[a:b].tobytes() for a, b in zip(offsets, offsets[1:])])
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, sum(map(len, ids)))
+        flat = np.concatenate([np.zeros(0, np.int32), *ids])
         return [pa.ListArray.from_arrays(_offsets(map(len, ids)), pa.array(flat), type=pa.list_(pa.field("element", pa.int32(), False)))]
 
     return add_columns(docs, text, IDS, work, keep)
@@ -265,7 +273,7 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None, keep:
     path = path or tokenizer_path()
 
     def work(lists: pa.Array) -> list[pa.Array]:
-        names = encoder(path).names
+        names = token_names(path)
         flat = lists.flatten().cast(pa.int64())
         known = pc.and_kleene(pc.greater_equal(flat, 0), pc.less(flat, len(names)))
         found = names.take(pc.if_else(known, flat, None))
