@@ -10,6 +10,7 @@ from .plans import (
     predict_df,
     predict_job,
     read_load_status,
+    read_quarantine,
     silver_job,
     train_job,
     train_model,
@@ -29,6 +30,7 @@ __all__ = [
     "predict_df",
     "predict_job",
     "read_load_status",
+    "read_quarantine",
     "select_faces",
     "silver_job",
     "silver_transform",

@@ -16,6 +16,8 @@ from .gold import (
     fill_null_token,
     first_per_group,
     gold_transform,
+    observe_faces,
+    observed_faces,
     pad_second_face,
     pivot_faces,
 )
@@ -24,6 +26,7 @@ from .model import (
     confusion_counts,
     each_text,
     evaluate,
+    evaluate_scored,
     fit_classifier,
     log_loss,
     score_with,
@@ -31,9 +34,12 @@ from .model import (
     select_results,
     unpack_results,
 )
+from .model_checks import gradient_share, recomputed_scores, recomputed_token_scores, word_weights
 from .silver import silver_transform
+from .token_model import TokenModel, fit_token_model, score_with_token_model, with_token_probability
 
 __all__ = [
+    "TokenModel",
     "build_vocabulary",
     "confusion_counts",
     "distinct_faces",
@@ -41,22 +47,30 @@ __all__ = [
     "encode_tokens",
     "encoded_training_set",
     "evaluate",
+    "evaluate_scored",
     "explode_faces",
     "fill_null_token",
     "first_per_group",
     "fit_classifier",
+    "fit_token_model",
     "flat_cards",
     "full_outer_using",
     "gold_transform",
+    "gradient_share",
     "hash_split",
     "is_test_row",
     "join_faces",
     "log_loss",
     "multi_faces",
+    "observe_faces",
+    "observed_faces",
     "pad_second_face",
     "pivot_faces",
+    "recomputed_scores",
+    "recomputed_token_scores",
     "score_with",
     "score_with_model",
+    "score_with_token_model",
     "select_faces",
     "select_or_null",
     "select_results",
@@ -67,4 +81,6 @@ __all__ = [
     "union_faces",
     "unpack_results",
     "with_row_text",
+    "with_token_probability",
+    "word_weights",
 ]

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..schemas import MODEL_TEXT_COLUMNS, NULL_TOKEN, gold_targets
@@ -15,6 +15,32 @@ def distinct_faces(silver: DataFrame) -> DataFrame:
     return silver.select("card_face_number").distinct()
 
 
+def observe_faces(silver: DataFrame, into: Observation) -> DataFrame:
+    """``silver``, whose face numbers are counted into ``into`` when it is computed.
+
+    Five small values: how often 0, 1, other numbers and none occur, and whether the
+    others are one. A task that runs twice may count twice; only what is zero matters.
+    """
+    number = F.col("card_face_number")
+    other = F.when(~number.isin("0", "1"), number)
+    return silver.observe(
+        into,
+        F.count_if(number == "0").alias("faces_0"),
+        F.count_if(number == "1").alias("faces_1"),
+        F.count_if(number.isNull()).alias("faces_null"),
+        F.min(other).alias("faces_other_min"),
+        F.max(other).alias("faces_other_max"),
+    )
+
+
+def observed_faces(seen: Mapping[str, object]) -> list[str | None]:
+    """Up to five of the different face numbers behind observed values (or their texts): all of them if under three."""
+    found: list[str | None] = [n for n in ("0", "1") if int(seen[f"faces_{n}"])]
+    found += [None] * bool(int(seen["faces_null"]))
+    others = {seen["faces_other_min"], seen["faces_other_max"]} - {None, "None"}
+    return found + sorted(map(str, others))
+
+
 def first_per_group(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:
@@ -35,10 +61,7 @@ def pivot_faces(mode: str, silver: DataFrame, order_by: Sequence[str] = ()) -> D
     map-side. Rows of any other number fail the job that reads the result: they
     have no columns to go to.
     """
-    number = F.col("card_face_number")
-    message = F.concat(F.lit("no columns for face number "), F.coalesce(number, F.lit("null")))
-    checked = F.when(number.isin("0", "1"), number).otherwise(F.raise_error(message))
-    silver = silver.withColumn("card_face_number", checked)
+    number = F.coalesce("card_face_number", F.lit("null"))
     targets = gold_targets(mode)
     columns = [*targets, "price"]
     ranked = F.struct(
@@ -46,10 +69,12 @@ def pivot_faces(mode: str, silver: DataFrame, order_by: Sequence[str] = ()) -> D
         *[F.col(c).cast("string").alias(c) for c in columns],
     )
     faces = silver.groupBy("oracle_id").agg(
-        F.min(F.when(F.col("card_face_number") == "0", ranked)).alias("front"),
-        F.min(F.when(F.col("card_face_number") == "1", ranked)).alias("back"),
+        F.min(F.when(number == "0", ranked)).alias("front"),
+        F.min(F.when(number == "1", ranked)).alias("back"),
+        F.min(F.when(~number.isin("0", "1"), number)).alias("stray"),
     )
-    return faces.select(
+    message = F.concat(F.lit("no columns for face number "), "stray")
+    return faces.filter(F.assert_true(F.col("stray").isNull(), message).isNull()).select(
         "oracle_id",
         *[F.col(f"front.{c}").alias(c) for c in targets],
         *[F.col(f"back.{c}").alias(f"second_{c}") for c in targets],
@@ -74,17 +99,22 @@ def fill_null_token(df: DataFrame) -> DataFrame:
 
 
 def gold_transform(
-    mode: str, silver: DataFrame, widen: str = "auto", order_by: Sequence[str] = ()
+    mode: str,
+    silver: DataFrame,
+    widen: str = "auto",
+    order_by: Sequence[str] = (),
+    numbers: Sequence[str | None] | None = None,
 ) -> DataFrame:
     """One row per item, ready for the model.
 
     With ``widen="auto"`` the whole input decides: exactly two face numbers
     pivot, anything else is padded row by row. That test reads one column and
-    fetches at most three values. ``pivot`` and ``pad`` skip it. Two numbers
-    other than 0 and 1 are an error.
+    fetches at most three values; ``numbers``, if they are known, spare it. ``pivot``
+    and ``pad`` skip it. Two numbers other than 0 and 1 are an error.
     """
     if widen == "auto":
-        numbers = [row[0] for row in distinct_faces(silver).limit(3).collect()]
+        if numbers is None:
+            numbers = [row[0] for row in distinct_faces(silver).limit(3).collect()]
         if len(numbers) == 2 and set(numbers) != {"0", "1"}:
             raise ValueError(f"two face numbers, but not 0 and 1: {sorted(map(str, numbers))}")
         widen = "pivot" if len(numbers) == 2 else "pad"

@@ -9,6 +9,7 @@ from .jobs import (
     predict_df,
     predict_job,
     read_load_status,
+    read_quarantine,
     silver_job,
     train_job,
     train_model,
@@ -24,6 +25,7 @@ __all__ = [
     "predict_df",
     "predict_job",
     "read_load_status",
+    "read_quarantine",
     "silver_job",
     "train_job",
     "train_model",

@@ -343,8 +343,19 @@ ORACLE_SQL: dict[str, str] = {
     "e2e_gold_predict": f"{_TO_SILVER}, wide AS ({_pivot('predict')}) {_filled('predict')}",
 }
 ORACLE_SQL["e2e_gold_text"] = ORACLE_SQL["e2e_gold"]
+ORACLE_SQL["e2e_gold_bucketed"] = ORACLE_SQL["e2e_gold"]
+_EVENT_LINE = """'{"event_id":' || event_id || ',"props":' || props || '}'"""
+ORACLE_SQL["json_malformed"] = f"""SELECT CASE WHEN event_id % 11 <> 3 THEN event_id END AS event_id,
+  CASE WHEN event_id % 11 <> 3 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
+  CASE WHEN event_id % 11 = 3 THEN left({_EVENT_LINE}, length({_EVENT_LINE}) - 2) END AS line FROM events"""
+_RECORDED = """WITH log AS (SELECT event_type AS mode, strftime(date_trunc('day', ts), '%y%m%d%H%M%S') AS identifier,
+  ['bronze', 'silver', 'gold'][user_id % 3 + 1] AS step, ['started', 'complete', 'failed'][event_id % 3 + 1] AS state, ts FROM events)"""
+ORACLE_SQL["run_states"] = f"""{_RECORDED} SELECT mode, identifier, step, state FROM log
+  QUALIFY row_number() OVER (PARTITION BY mode, identifier, step ORDER BY ts DESC, state DESC) = 1"""
+ORACLE_SQL["current_runs"] = f"{_RECORDED} SELECT mode, step, max(identifier) AS identifier FROM log WHERE state = 'complete' GROUP BY 1, 2"
 ORACLE_SQL["e2e_predict_scorer"] = ORACLE_SQL["result_projection"]
 
+_COUNTED = f"object <> 'error' AND has_data AND page_no <= coalesce(last_page, page_no) AND {_TRAIN_COHORT}"
 _ENDED = f"{_with(_RECORDS, _RECORD_PAGES, _page_ends('pages_in'))}"
 ORACLE_SQL["bronze_status"] = f"""{_ENDED},
   counts AS (SELECT request_id, count(*) AS pages, count_if(page_no IS NULL) AS unnumbered_pages FROM pages_in GROUP BY request_id),
@@ -355,6 +366,19 @@ ORACLE_SQL["bronze_status"] = f"""{_ENDED},
     last_page, pages, CAST(unnumbered_pages AS BIGINT) AS unnumbered_pages
   FROM ends JOIN counts USING (request_id)
   LEFT JOIN stops ON ends.request_id = stops.request_id AND stops.page_no = stop_page"""
+# Every seventh line is no page; none of its fields can be read.
+ORACLE_SQL["malformed_status"] = f"""{_with(_CONVERSATION_PAGES)},
+  whole AS (SELECT * FROM pages_in WHERE (page_no + CAST(request_id AS INTEGER)) % 7 <> 0), {_page_ends('whole')},
+  counts AS (SELECT request_id, count(*) AS pages FROM whole GROUP BY request_id),
+  broken AS (SELECT count(*) AS quarantined FROM pages_in WHERE (page_no + CAST(request_id AS INTEGER)) % 7 = 0)
+  SELECT ends.request_id, CASE WHEN stop_page IS NULL THEN 'open' WHEN object = 'error' THEN 'error' WHEN NOT has_data THEN 'invalid'
+    ELSE 'complete' END AS status, last_page, pages, CAST(0 AS BIGINT) AS unnumbered_pages, quarantined
+  FROM ends JOIN counts USING (request_id) LEFT JOIN whole ON ends.request_id = whole.request_id AND page_no = stop_page CROSS JOIN broken
+  UNION ALL SELECT NULL, 'malformed', NULL, quarantined, quarantined, quarantined FROM broken WHERE quarantined > 0"""
+ORACLE_SQL["silver_after_failed_load"] = f"""{_with(_RECORDS, _RECORD_PAGES, _page_ends('pages_in'))},
+  {_FACES.replace("FROM records", "FROM pages_in JOIN ends USING (request_id)").replace("WHERE true", f"WHERE {_COUNTED}").replace("WHERE two_faced", f"WHERE two_faced AND {_COUNTED}")},
+  {_SILVER_RAW}, {_SILVER} SELECT oracle_id, card_face_number, {', '.join(_TARGETS)}, price,
+    true AS is_of_whole_load, CAST(1 AS BIGINT) AS complete, CAST(1 AS BIGINT) AS failed FROM silver"""
 # Without an array of faces every record has one row, with what the record itself carries.
 _BARE = [c for c in _STATS if c != "loyalty"]
 ORACLE_SQL["e2e_silver_inferred"] = f"""{_with(_RECORDS)},
@@ -369,11 +393,13 @@ _HELD_OUT = f"""{_gold_ctes('train')},
     WHERE substring(md5(oracle_id || chr(31) || gameplay_text || chr(31) || price), 1, 8) < '33333333')"""
 ORACLE_SQL["e2e_train"] = f"""{_HELD_OUT}
   SELECT '/experiments/prices' AS experiment, count(*) AS eval_rows, CAST(count_if(price = 0) AS BIGINT) AS eval_true_0,
-    CAST(count_if(price = 1) AS BIGINT) AS eval_true_1, true AS loss_is_finite, true AS accuracy_is_share_of_right FROM held_out"""
+    CAST(count_if(price = 1) AS BIGINT) AS eval_true_1, true AS loss_is_finite, true AS accuracy_is_share_of_right,
+    true AS weights_are_fitted FROM held_out"""
 ORACLE_SQL["run_log"] = """
   SELECT '/experiments/prices' AS experiment,
     'max_iter=10;model=logistic regression on hashed words;model_name=prices;num_features=16384;reg_param=0.01;test_size=0.2' AS params,
     'eval_accuracy;eval_loss;eval_rows;eval_true_0_predicted_0;eval_true_0_predicted_1;eval_true_1_predicted_0;eval_true_1_predicted_1'
       AS metric_names, true AS model_is_kept"""
-ORACLE_SQL["e2e_predict"] = f"""{_gold_ctes('predict')}
-  SELECT oracle_id, name, image_link, price, true AS label_is_known, true AS score_is_of_chosen_class FROM gold"""
+_SCORED_GOLD = "oracle_id, name, image_link, price, true AS label_is_likelier, true AS score_is_recomputed"
+ORACLE_SQL["e2e_predict"] = f"{_gold_ctes('predict')} SELECT {_SCORED_GOLD}, true AS weights_are_fitted FROM gold"
+ORACLE_SQL["e2e_predict_tokens"] = f"{_gold_ctes('predict')} SELECT {_SCORED_GOLD} FROM gold"

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fn
@@ -14,16 +15,22 @@ from .. import sources as src
 from ..operators.model import Scorer
 from ..schemas import BRONZE_SCHEMA, MODEL_TEXT_COLUMNS, field_or_null
 from ..session import scratch_path
+from ..sources.runs import COMPLETE, FAILED, STARTED, STEPS
 from .jobs import (
+    IncompleteLoadError,
     TrainingConfig,
     Workspace,
     bronze_job,
     gold_job,
+    latest_model_path,
+    load_latest_model,
     predict_df,
     predict_job,
     read_load_status,
     silver_job,
+    token_rows,
     train_job,
+    training_split,
 )
 from .tables import bronze_records, conversation_pages, record_pages, table
 
@@ -74,6 +81,17 @@ def json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("event_id", field_or_null(read.schema, "props.k", dtype="int").alias("k"))
 
 
+@query
+def json_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed as JSON lines of which some broke off: the others' values, and the broken lines as they are."""
+    path = scratch_path(spark, "event-lines")
+    line = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"props":'), "props", F.lit("}"))
+    cut = F.when(F.col("event_id") % 11 == 3, F.substr(line, F.lit(1), F.char_length(line) - 2)).otherwise(line)
+    table(spark, sf_dir, "events").select(cut.alias("value")).write.text(path)
+    read = src.read_table(spark, path, "json", malformed="line")
+    return read.select("event_id", field_or_null(read.schema, "props.k", dtype="int").alias("k"), "line")
+
+
 @query
 def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "json")
@@ -119,6 +137,28 @@ def latest_model_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.latest_model_runs(runs)
 
 
+def _recorded_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as entries of a run log: a run a day, three steps, three states."""
+    names = lambda column, *values: F.element_at(F.array(*map(F.lit, values)), (F.col(column) % 3 + 1).cast("int"))
+    return table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("mode"),
+        src.run_identifier(F.date_trunc("day", "ts")).alias("identifier"),
+        names("user_id", *STEPS).alias("step"),
+        names("event_id", STARTED, COMPLETE, FAILED).alias("state"),
+        F.col("ts").alias("recorded_at"),
+    )
+
+
+@query
+def run_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src.run_states(_recorded_steps(spark, sf_dir))
+
+
+@query
+def current_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src.current_runs(_recorded_steps(spark, sf_dir))
+
+
 @query
 def flatten_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.flatten_pages(conversation_pages(spark, sf_dir))
@@ -426,10 +466,17 @@ def result_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed(spark: SparkSession, sf_dir: str, mode: str, layout: str = "columnar") -> Workspace:
     """A workspace whose bronze zone holds every record."""
     work = Workspace(spark, scratch_path(spark, f"lake-{mode}"), mode, layout)
-    work.zones.write(bronze_records(spark, sf_dir), "bronze", work.new_run(NOW))
+    _land(work, bronze_records(spark, sf_dir))
     return work
 
 
+def _land(work: Workspace, records: DataFrame) -> None:
+    """A run whose bronze holds ``records``."""
+    identifier = work.new_run(NOW)
+    with work.step("bronze", identifier):
+        work.zones.write(records, "bronze", identifier)
+
+
 def _refined(spark: SparkSession, sf_dir: str, mode: str, layout: str = "columnar") -> Workspace:
     work = _landed(spark, sf_dir, mode, layout)
     silver_job(work)
@@ -455,12 +502,42 @@ def bronze_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_load_status(work)
 
 
+@query
+def silver_after_failed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load whose requests all break off fails its run; silver then goes on from the load before."""
+    work = Workspace(spark, scratch_path(spark, "lake-failed"), "train")
+    pages = record_pages(spark, sf_dir)
+    whole = bronze_job(work, pages, AS_OF, NOW, since_year=SINCE_YEAR)
+    broken = pages.withColumn("object", F.when(F.col("page_no") > 1, "error").otherwise(F.col("object")))
+    try:
+        bronze_job(work, broken, AS_OF, NOW, require_complete=True, since_year=SINCE_YEAR)
+    except IncompleteLoadError:
+        pass
+    states = src.run_states(work.runs()).filter("step = 'bronze'").groupBy().pivot("state", ["complete", "failed"]).count()
+    silver = work.zones.read("silver", silver_job(work))
+    return silver.withColumn("is_of_whole_load", F.lit(work.current_run("silver") == whole)).crossJoin(F.broadcast(states))
+
+
+@query
+def malformed_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages of which every seventh line broke off: how the requests ended, and the lines that are no pages."""
+    landed = scratch_path(spark, "landed-lines")
+    pages = conversation_pages(spark, sf_dir)
+    line, broken = F.to_json(F.struct(*pages.columns)), (F.col("page_no") + F.col("request_id").cast("int")) % 7 == 0
+    cut = F.when(broken, F.substr(line, F.lit(1), F.char_length(line) - 5)).otherwise(line)
+    pages.select(cut.alias("value")).write.text(landed)
+    record = pages.schema["data"].dataType.elementType
+    staged = src.stage_pages(src.read_pages(spark, landed, record))
+    lines = src.quarantined_lines(staged).agg(F.count("malformed_line").alias("quarantined"))
+    return src.staged_status(staged).crossJoin(F.broadcast(lines))
+
+
 @query
 def e2e_silver_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze stored without some fields, read as it is: they become nulls."""
     work = Workspace(spark, scratch_path(spark, "lake-inferred"), "train")
     partial = bronze_records(spark, sf_dir).drop("card_faces", "loyalty", "legalities")
-    work.zones.write(partial, "bronze", work.new_run(NOW))
+    _land(work, partial)
     return work.zones.read("silver", silver_job(work, infer=True))
 
 
@@ -482,20 +559,27 @@ def e2e_silver_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def e2e_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = _refined(spark, sf_dir, "train")
-    return work.zones.read("gold", work.current_run())
+    return work.zones.read("gold", work.current_run("gold"))
 
 
 @query
 def e2e_gold_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = _refined(spark, sf_dir, "predict")
-    return work.zones.read("gold", work.current_run())
+    return work.zones.read("gold", work.current_run("gold"))
+
+
+@query
+def e2e_gold_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with silver in buckets by item: gold groups without a shuffle."""
+    work = _refined(spark, sf_dir, "train", "bucketed")
+    return work.zones.read("gold", work.current_run("gold"))
 
 
 @query
 def e2e_gold_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through JSON and CSV zones."""
     work = _refined(spark, sf_dir, "train", "text")
-    return work.zones.read("gold", work.current_run())
+    return work.zones.read("gold", work.current_run("gold"))
 
 
 def _trained(spark: SparkSession, sf_dir: str) -> Workspace:
@@ -504,18 +588,32 @@ def _trained(spark: SparkSession, sf_dir: str) -> Workspace:
     return work
 
 
+# A fit counts as one if what is left of the gradient at the best constant is under this share.
+SMALL_GRADIENT = 0.05
+
+
+def _is_fitted(work: Workspace) -> Column:
+    """Whether the stored weights are near the optimum of the rows they were fitted to."""
+    gold = work.zones.read("gold", work.current_run("gold"))
+    train, _ = training_split(gold, CONFIG)
+    model = load_latest_model(work.spark, CONFIG, work.root_dir)
+    return F.lit(op.gradient_share(model, train) < SMALL_GRADIENT)
+
+
 @query
 def e2e_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the train job recorded: exact counts, and what must hold of a fit."""
     metric = {name: F.col("metrics")[name] for name in ("eval_loss", "eval_accuracy", "eval_rows")}
     truth = {t: sum(F.col("metrics")[f"eval_true_{t}_predicted_{p}"] for p in (0, 1)) for t in (0, 1)}
     right = sum(F.col("metrics")[f"eval_true_{t}_predicted_{t}"] for t in (0, 1))
-    return src.read_model_runs(spark, _trained(spark, sf_dir).root_dir).select(
+    work = _trained(spark, sf_dir)
+    return src.read_model_runs(spark, work.root_dir).select(
         "experiment",
         metric["eval_rows"].cast("long").alias("eval_rows"),
         *[truth[t].cast("long").alias(f"eval_true_{t}") for t in (0, 1)],
         ((metric["eval_loss"] > 0) & (metric["eval_loss"] < 10)).alias("loss_is_finite"),
         (F.abs(metric["eval_accuracy"] * metric["eval_rows"] - right) < 0.5).alias("accuracy_is_share_of_right"),
+        _is_fitted(work).alias("weights_are_fitted"),
     )
 
 
@@ -531,30 +629,59 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _predicted(spark: SparkSession, sf_dir: str, root_dir: str, table: str, **options) -> DataFrame:
+def _predicted(
+    spark: SparkSession, sf_dir: str, root_dir: str, table: str, config: TrainingConfig = CONFIG, **options
+) -> DataFrame:
     """Results table of a predict job over a new predict zone below ``root_dir``."""
     work = Workspace(spark, root_dir, "predict")
-    work.zones.write(bronze_records(spark, sf_dir), "bronze", work.new_run(NOW))
+    _land(work, bronze_records(spark, sf_dir))
     silver_job(work)
     gold_job(work)
-    predict_job(work, CONFIG, table=table, path=scratch_path(spark, table), **options)
+    predict_job(work, config, table=table, path=scratch_path(spark, table), **options)
     return spark.table(table)
 
 
-@query
-def e2e_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train, then score the predict zone of the same lake into the results table."""
-    results = _predicted(spark, sf_dir, _trained(spark, sf_dir).root_dir, "results")
-    return results.select(
+def _checked(results: DataFrame, recomputed: DataFrame) -> DataFrame:
+    """The results, and whether label and score are those that the stored weights give."""
+    one = F.col("recomputed")
+    chosen = F.when(F.col("label") == "Above_3", one).when(F.col("label") == "Below_3", 1 - one)
+    return results.join(recomputed, "oracle_id", "left").select(
         "oracle_id",
         "name",
         "image_link",
         "price",
-        F.col("label").isin("Below_3", "Above_3").alias("label_is_known"),
-        F.col("score").cast("double").between(0.5, 1.0).alias("score_is_of_chosen_class"),
+        F.coalesce(chosen >= 0.5, F.lit(False)).alias("label_is_likelier"),
+        F.coalesce(F.abs(F.col("score").cast("double") - chosen) < 1e-9, F.lit(False)).alias("score_is_recomputed"),
     )
 
 
+def _predict_gold(spark: SparkSession, root_dir: str) -> DataFrame:
+    work = Workspace(spark, root_dir, "predict")
+    return op.with_row_text(work.zones.read("gold", work.current_run("gold")))
+
+
+@query
+def e2e_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train, then score the predict zone of the same lake; every score again from the stored weights."""
+    work = _trained(spark, sf_dir)
+    results = _predicted(spark, sf_dir, work.root_dir, "results")
+    model = load_latest_model(spark, CONFIG, work.root_dir)
+    checked = _checked(results, op.recomputed_scores(model, _predict_gold(spark, work.root_dir)))
+    return checked.withColumn("weights_are_fitted", _is_fitted(work))
+
+
+@query
+def e2e_predict_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a model on token ids."""
+    config = replace(CONFIG, classifier="tokens", max_length=32, batches=4)
+    work = _refined(spark, sf_dir, "train")
+    train_job(work, config)
+    results = _predicted(spark, sf_dir, work.root_dir, "results_tokens", config)
+    path = latest_model_path(spark, config, work.root_dir)
+    rows = token_rows(_predict_gold(spark, work.root_dir), path, config.max_length)
+    return _checked(results, op.recomputed_token_scores(path, rows))
+
+
 @query
 def e2e_predict_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predict job with a scorer of the caller's."""

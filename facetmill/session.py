@@ -7,6 +7,7 @@ submits the job; only settings that change plans or results are named here.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -32,7 +33,44 @@ def local_session(app: str, cores: str = "*", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-_made: list[list[str]] = [[]]
+def sibling_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application with the same settings, for jobs that leave something behind in theirs.
+
+    Observing a query does: afterwards, models that were fitted in its session and
+    still hold their training summary cannot be sent to tasks.
+    """
+    sibling = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and sibling.conf.isModifiable(key) and sibling.conf.get(key, None) != value:
+            sibling.conf.set(key, value)
+    return sibling
+
+
+class _Made(threading.local):
+    """The scratch folders of a thread's open :func:`scratch` blocks, the innermost last."""
+
+    def __init__(self) -> None:
+        self.blocks: list[list[str]] = []
+
+
+_made = _Made()
+
+
+def filesystem(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path``, and the path in its terms."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    system, place = filesystem(spark, path)
+    system.delete(place, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none where there is no such folder."""
+    system, place = filesystem(spark, path)
+    return sorted(found.getPath().getName() for found in system.listStatus(place)) if system.exists(place) else []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -47,20 +85,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError(f"{CHECKPOINT_DIR} must name a shared folder on a cluster")
         base = tempfile.mkdtemp(prefix="facetmill-")
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    _made[-1].append(path)
+    if _made.blocks:
+        _made.blocks[-1].append(path)
     return path
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Scratch folders named inside are removed at the end: what is computed from them must be written by then."""
-    _made.append([])
+    """Scratch folders named inside, by this thread, are removed at the end.
+
+    What is computed from them must be written by then. Threads do not see each
+    other's folders.
+    """
+    _made.blocks.append([])
     try:
         yield
     finally:
-        for path in _made.pop():
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        for path in _made.blocks.pop():
+            remove_folder(spark, path)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

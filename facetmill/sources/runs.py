@@ -1,32 +1,69 @@
-"""Run tables: batch runs by mode, and tracked model runs by experiment.
+"""Run tables: the steps of batch runs by mode, and tracked model runs by experiment.
 
-Both are append-only Parquet tables, so a retried or concurrent job never
-rewrites what another one recorded.
+Both are append-only Parquet logs, so a retried or concurrent job never rewrites what
+another one recorded. A log is cut into slots of time, and who asks for the latest
+entry reads the newest slots first: what is read follows the runs of an hour (of a
+day for models) and not all runs ever made.
+
+A step of a run is recorded when it starts and when it is through, and counts from
+then on: a step that failed or was cut off leaves the run before it as the current one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+from collections.abc import Iterator, Mapping
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..schemas import check_mode
+from ..session import filesystem, folder_names
+
+STEPS = ("bronze", "silver", "gold")
+STARTED, COMPLETE, FAILED = "started", "complete", "failed"
 
-RUN_SCHEMA = "mode string, identifier string, created_at timestamp"
+RUN_SCHEMA = "mode string, identifier string, step string, state string, recorded_at timestamp, details map<string,string>"
 MODEL_RUN_SCHEMA = (
     "run_id string, experiment string, start_time timestamp, "
     "params map<string,string>, metrics map<string,double>, model_path string"
 )
 
+# The leading digits of a run identifier that name a log's slot: its hour.
+SLOT_DIGITS = 8
+
+
+class Log:
+    """An append-only table below ``path``, in slots that are read newest first."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str):
+        self.spark, self.path, self.schema = spark, path, schema
+
+    def append(self, row: tuple, slot: str) -> None:
+        self.spark.createDataFrame([row], self.schema).coalesce(1).write.mode("append").parquet(f"{self.path}/slot={slot}")
+
+    def slots(self) -> list[str]:
+        return [n.removeprefix("slot=") for n in folder_names(self.spark, self.path) if n.startswith("slot=")]
 
-def _runs_path(root_dir: str) -> str:
-    return f"{root_dir.rstrip('/')}/runs"
+    def read(self, slots: list[str] | None = None) -> DataFrame:
+        slots = self.slots() if slots is None else slots
+        if not slots:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/slot={slot}" for slot in slots])
 
+    def newest_first(self) -> Iterator[DataFrame]:
+        """The entries of the newest slot, then of twice as many before it, and so on."""
+        slots, size = self.slots(), 1
+        while slots:
+            yield self.read(slots[-size:])
+            slots, size = slots[:-size], size * 2
 
-def _model_runs_path(root_dir: str) -> str:
-    return f"{root_dir.rstrip('/')}/model_runs"
+
+def run_log(spark: SparkSession, root_dir: str, mode: str) -> Log:
+    return Log(spark, f"{root_dir.rstrip('/')}/runs/{check_mode(mode)}", RUN_SCHEMA)
 
 
 def run_identifier(created_at: Column) -> Column:
@@ -40,27 +77,86 @@ def latest_runs(runs: DataFrame) -> DataFrame:
     return runs.groupBy("mode").agg(latest["identifier"].alias("identifier"))
 
 
-def append_run(spark: SparkSession, root_dir: str, mode: str, identifier: str, created_at: datetime) -> None:
-    row = spark.createDataFrame([(check_mode(mode), identifier, created_at)], RUN_SCHEMA)
-    row.write.mode("append").parquet(_runs_path(root_dir))
+def current_runs(log: DataFrame) -> DataFrame:
+    """For every mode and step the last run that completed it."""
+    complete = log.filter(F.col("state") == COMPLETE)
+    return complete.groupBy("mode", "step").agg(F.max("identifier").alias("identifier"))
+
+
+def run_states(log: DataFrame) -> DataFrame:
+    """How far every step of every run has come: the last state recorded of it."""
+    last = F.max(F.struct("recorded_at", "state"))
+    return log.groupBy("mode", "identifier", "step").agg(last["state"].alias("state"))
+
+
+def _claimed(spark: SparkSession, root_dir: str, mode: str, identifier: str) -> bool:
+    """Whether this call is the first to take ``identifier``; the file system decides."""
+    system, place = filesystem(spark, f"{root_dir.rstrip('/')}/run_claims/{mode}/{identifier[:SLOT_DIGITS]}/{identifier}")
+    try:
+        system.create(place, False).close()
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName() or system.exists(place):
+            return False
+        raise
+    return True
 
 
 def new_run(spark: SparkSession, root_dir: str, mode: str, now: datetime | None = None) -> str:
-    """Record a new run of ``mode`` and return its identifier."""
-    now = now or datetime.now(timezone.utc)
-    named = spark.range(1).select(run_identifier(F.timestamp_micros(F.lit(int(now.timestamp() * 1_000_000)))).alias("identifier"))
-    identifier = named.first()["identifier"]
-    append_run(spark, root_dir, mode, identifier, now)
-    return identifier
+    """A new identifier of ``mode``; where the second is taken, the next free one.
+
+    Nothing is recorded yet: the run shows up with its first step.
+    """
+    check_mode(mode)
+    second = int((now or datetime.now(timezone.utc)).timestamp())
+    while True:
+        named = spark.range(1).select(run_identifier(F.timestamp_seconds(F.lit(second))).alias("identifier"))
+        identifier = named.first()["identifier"]
+        if _claimed(spark, root_dir, mode, identifier):
+            return identifier
+        second += 1
 
 
-def current_run(spark: SparkSession, root_dir: str, mode: str) -> str:
-    """Identifier of the latest recorded run of ``mode``."""
-    runs = spark.read.schema(RUN_SCHEMA).parquet(_runs_path(root_dir))
-    row = latest_runs(runs.filter(F.col("mode") == check_mode(mode))).first()
-    if row is None:
-        raise LookupError(f"no run of mode {mode!r} below {root_dir}")
-    return row["identifier"]
+def record_step(
+    spark: SparkSession,
+    root_dir: str,
+    mode: str,
+    identifier: str,
+    step: str,
+    state: str,
+    details: Mapping[str, object] | None = None,
+) -> None:
+    if step not in STEPS:
+        raise ValueError(f"unknown step {step!r}, expected one of {', '.join(STEPS)}")
+    texts = {key: str(value) for key, value in (details or {}).items()}
+    row = (mode, identifier, step, state, datetime.now(timezone.utc), texts)
+    run_log(spark, root_dir, mode).append(row, identifier[:SLOT_DIGITS])
+
+
+def read_runs(spark: SparkSession, root_dir: str, mode: str) -> DataFrame:
+    """Everything recorded of a mode's runs."""
+    return run_log(spark, root_dir, mode).read()
+
+
+def current_run(spark: SparkSession, root_dir: str, mode: str, step: str = "bronze") -> str:
+    """Identifier of the last run of ``mode`` that completed ``step``."""
+    for part in run_log(spark, root_dir, mode).newest_first():
+        row = current_runs(part.filter(F.col("step") == step)).first()
+        if row is not None:
+            return row["identifier"]
+    raise LookupError(f"no run of mode {mode!r} with complete {step} below {root_dir}")
+
+
+def step_details(spark: SparkSession, root_dir: str, mode: str, identifier: str, step: str) -> dict[str, str]:
+    """What was recorded when ``step`` of a run was completed last."""
+    part = run_log(spark, root_dir, mode).read([identifier[:SLOT_DIGITS]])
+    own = part.filter((F.col("identifier") == identifier) & (F.col("step") == step) & (F.col("state") == COMPLETE))
+    row = own.agg(F.max_by("details", "recorded_at").alias("details")).first()
+    return row["details"] or {}
+
+
+def _model_log(spark: SparkSession, root_dir: str, experiment: str) -> Log:
+    name = hashlib.sha256(experiment.encode()).hexdigest()
+    return Log(spark, f"{root_dir.rstrip('/')}/model_runs/{name}", MODEL_RUN_SCHEMA)
 
 
 def append_model_run(
@@ -81,11 +177,16 @@ def append_model_run(
         {key: float(value) for key, value in metrics.items()},
         model_path,
     )
-    spark.createDataFrame([row], MODEL_RUN_SCHEMA).write.mode("append").parquet(_model_runs_path(root_dir))
+    slot = start_time.astimezone(timezone.utc).strftime("%Y%m%d")
+    _model_log(spark, root_dir, experiment).append(row, slot)
 
 
 def read_model_runs(spark: SparkSession, root_dir: str) -> DataFrame:
-    return spark.read.schema(MODEL_RUN_SCHEMA).parquet(_model_runs_path(root_dir))
+    """The runs of all experiments."""
+    base = f"{root_dir.rstrip('/')}/model_runs"
+    parts = [Log(spark, f"{base}/{name}", MODEL_RUN_SCHEMA) for name in folder_names(spark, base)]
+    paths = [f"{log.path}/slot={slot}" for log in parts for slot in log.slots()]
+    return spark.read.schema(MODEL_RUN_SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], MODEL_RUN_SCHEMA)
 
 
 def latest_model_runs(runs: DataFrame) -> DataFrame:
@@ -96,3 +197,12 @@ def latest_model_runs(runs: DataFrame) -> DataFrame:
         .agg(latest.alias("latest"))
         .select("experiment", "latest.run_id", "latest.model_path")
     )
+
+
+def latest_model_run(spark: SparkSession, root_dir: str, experiment: str) -> tuple[str, str]:
+    """Run id and model path of the run started last in ``experiment``."""
+    for part in _model_log(spark, root_dir, experiment).newest_first():
+        row = latest_model_runs(part).first()
+        if row is not None:
+            return row["run_id"], row["model_path"]
+    raise LookupError(f"no model run of {experiment!r} below {root_dir}")

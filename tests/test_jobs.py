@@ -14,7 +14,8 @@ from facetmill.plans import TrainingConfig
 from facetmill.plans.jobs import load_latest_model
 from facetmill.schemas import RESULT_COLUMNS, gold_columns
 from facetmill.session import materialise, scratch, scratch_path
-from facetmill.sources import read_model_runs, read_pages
+from facetmill.operators import distinct_faces, gold_transform, observed_faces
+from facetmill.sources import ZoneStore, read_model_runs, read_pages, run_states
 
 CONFIG = {"model_name": "m", "experiment_path": "/e", "num_features": 64, "max_iter": 3, "unknown": 1}
 AS_OF = date(2020, 1, 20)
@@ -93,7 +94,8 @@ def test_bronze_records_how_requests_ended(spark, tmp_path):
     assert got == {"r": ("complete", len(CARDS), len(CARDS), 0), "bad": ("error", None, 1, 1)}
     with pytest.raises(IncompleteLoadError, match="bad"):
         bronze_job(work, pages, AS_OF, require_complete=True)
-    bronze_job(work, pages.filter("request_id = 'r'"), AS_OF, require_complete=True)
+    whole = bronze_job(work, pages.filter("request_id = 'r'"), AS_OF, require_complete=True)
+    assert work.current_run() == whole
 
 
 def test_bronze_keeps_every_field_of_a_record(spark, tmp_path):
@@ -111,7 +113,8 @@ def test_bronze_keeps_every_field_of_a_record(spark, tmp_path):
 
 def test_silver_on_inferred_bronze(spark, tmp_path):
     work = Workspace(spark, str(tmp_path), "train")
-    work.zones.write(bronze(spark).drop("card_faces", "loyalty"), "bronze", work.new_run())
+    with work.step("bronze", identifier := work.new_run()):
+        work.zones.write(bronze(spark).drop("card_faces", "loyalty"), "bronze", identifier)
     got = {r.oracle_id: r for r in work.zones.read("silver", silver_job(work, infer=True)).collect()}
     assert len(got) == len(CARDS) and got["c"].bottomright_value is None and got["b"].bottomright_value == "40/30"
 
@@ -124,6 +127,87 @@ def test_scratch_is_removed_with_its_job(spark):
     assert not os.path.exists(folder)
 
 
+def test_threads_keep_their_scratch_folders_apart(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with scratch(spark):
+        own = materialise(spark.range(3), "own")
+        with ThreadPoolExecutor(1) as pool:
+            def other():
+                with scratch(spark):
+                    return materialise(spark.range(4), "other").inputFiles()[0].removeprefix("file://")
+
+            gone = pool.submit(other).result()
+        assert not os.path.exists(gone) and own.count() == 3
+
+
+def test_failed_steps_leave_the_run_before_current(spark, tmp_path):
+    """A failed load, a failed silver and a failed gold: each job goes on from the last whole run."""
+    work = Workspace(spark, str(tmp_path), "predict")
+    pages = _pages(bronze(spark)).withColumn("has_more", F.col("page_no") < len(CARDS))
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    first = bronze_job(work, pages, AS_OF, at, require_complete=True)
+    with pytest.raises(IncompleteLoadError):
+        bronze_job(work, pages.withColumn("has_more", F.lit(True)), AS_OF, at, require_complete=True)
+    assert work.current_run() == first
+    assert silver_job(work) == gold_job(work) == first
+    second = bronze_job(work, pages, AS_OF, at)
+    with pytest.raises(ValueError):
+        silver_job(work, combine="none such")
+    assert work.current_run() == second and gold_job(work) == first
+    assert silver_job(work) == second
+    with pytest.raises(ValueError):
+        gold_job(work, widen="none such")
+    assert work.current_run("gold") == first
+    assert first == "240101000000" and second == "240101000002"
+    states = {(r.identifier, r.step): r.state for r in run_states(work.runs()).collect()}
+    assert states == {
+        (first, "bronze"): "complete",
+        (first, "silver"): "complete",
+        (first, "gold"): "complete",
+        ("240101000001", "bronze"): "failed",
+        (second, "bronze"): "complete",
+        (second, "silver"): "complete",
+        (second, "gold"): "failed",
+    }
+    assert "IncompleteLoadError" in work.runs().filter("state = 'failed' and step = 'bronze'").first().details["error"]
+
+
+def test_gold_reads_silver_once_and_decides_as_a_scan_would(spark, tmp_path):
+    for name, records in [("two", CARDS), ("one", [c for c in CARDS if c["card_faces"] is None])]:
+        work = Workspace(spark, str(tmp_path / name), "predict")
+        bronze_job(work, _pages(bronze(spark, records)), AS_OF)
+        identifier = silver_job(work)
+        silver = work.zones.read("silver", identifier)
+        numbers = observed_faces(work.step_details("silver", identifier))
+        assert sorted(numbers) == sorted(r[0] for r in distinct_faces(silver).collect())
+        tracked = spark.sparkContext.statusTracker()
+        before = len(tracked.getJobIdsForGroup(None))
+        gold = gold_transform("predict", silver, numbers=numbers)
+        assert len(tracked.getJobIdsForGroup(None)) == before
+        assert sorted(map(repr, gold.collect())) == sorted(map(repr, gold_transform("predict", silver).collect()))
+
+
+@pytest.mark.parametrize("seen,numbers", [((2, 0, 0, None, None), ["0"]), ((1, 1, 0, None, None), ["0", "1"]), ((0, 0, 3, "7", "7"), [None, "7"]), ((1, 0, 0, "2", "5"), ["0", "2", "5"]), ((0, 0, 0, None, None), [])])
+def test_observed_faces(spark, seen, numbers):
+    names = ("faces_0", "faces_1", "faces_null", "faces_other_min", "faces_other_max")
+    assert observed_faces(dict(zip(names, seen))) == numbers
+    assert observed_faces({k: str(v) for k, v in zip(names, seen)}) == numbers
+
+
+def test_bucketed_silver_is_grouped_without_an_exchange(spark, rows, tmp_path):
+    got = {}
+    for layout in ("columnar", "bucketed"):
+        work = _run(spark, str(tmp_path / layout), "predict", layout)
+        got[layout] = rows(work.zones.read("gold", work.current_run("gold")))
+        silver = work.zones.read("silver", work.current_run("silver"))
+        plan = gold_transform("predict", silver, widen="pivot")._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange" in plan) == (layout == "columnar")
+    assert got["columnar"] == got["bucketed"]
+    with pytest.raises(FileNotFoundError):
+        ZoneStore(spark, str(tmp_path / "bucketed"), "predict", "bucketed", buckets=3).read("silver", work.current_run("silver")).count()
+
+
 def test_config_from_mapping():
     config = TrainingConfig.of(CONFIG)
     assert config.experiment == "/e/m" and config.test_size == 0.2

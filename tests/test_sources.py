@@ -1,29 +1,43 @@
 from __future__ import annotations
 
+import os
 import random
-from datetime import date, datetime, timezone
+import threading
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from cards import CARDS, bronze, card
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from facetmill.schemas import page_schema, string_schema
 from facetmill.sources import (
     ZoneStore,
     append_model_run,
-    append_run,
     cohort,
     current_run,
     flatten_pages,
     latest_model_runs,
     new_run,
+    page_records,
     page_status,
+    quarantined_lines,
     read_model_runs,
     read_pages,
+    read_runs,
     read_table,
+    record_step,
+    run_states,
+    stage_pages,
+    staged_status,
+    step_details,
     write_results_table,
     write_table,
 )
 
+from facetmill.sources.runs import RUN_SCHEMA, run_log
+
 RECORD = string_schema(["v"])
 
 
@@ -83,24 +97,89 @@ def test_results_table_is_overwritten(spark, tmp_path):
     assert spark.table("results_managed").count() == 4
 
 
+def test_readers_see_whole_versions_while_results_are_replaced(spark, tmp_path):
+    path, seen, done = str(tmp_path / "results"), [], threading.Event()
+    version = lambda k: spark.range(0, 2000, 1, 3).withColumn("version", F.lit(k))
+    write_results_table(version(0), "results_read", path=path, keep=2)
+
+    def read():
+        while not done.is_set():
+            row = spark.table("results_read").agg(F.count("*"), F.min("version"), F.max("version")).first()
+            seen.append(tuple(row))
+
+    with ThreadPoolExecutor(1) as pool:
+        reader = pool.submit(read)
+        for k in range(1, 6):
+            write_results_table(version(k), "results_read", path=path, keep=2)
+        done.set()
+        reader.result()
+    assert len(seen) > 2 and all(n == 2000 and low == high for n, low, high in seen)
+    assert spark.table("results_read").agg(F.min("version")).first()[0] == 5
+    assert len(os.listdir(path)) == 3
+    write_results_table(spark.range(2).toDF("other"), "results_read", path=path)
+    assert spark.table("results_read").columns == ["other"]
+
+
 # --- runs --------------------------------------------------------------------
 
 
-def test_current_run_is_the_latest_of_its_mode(spark, tmp_path):
+def _complete(spark, root, mode, identifier, step="bronze"):
+    record_step(spark, root, mode, identifier, step, "started")
+    record_step(spark, root, mode, identifier, step, "complete", {"rows": 3})
+
+
+def test_current_run_is_the_last_complete_one_of_its_mode(spark, tmp_path):
     root = str(tmp_path)
     at = datetime(2024, 7, 18, 9, 5, 3, tzinfo=timezone.utc)
     assert new_run(spark, root, "train", at) == "240718090503"
-    new_run(spark, root, "predict", datetime(2025, 1, 1, tzinfo=timezone.utc))
-    append_run(spark, root, "train", "older", datetime(2020, 1, 1, tzinfo=timezone.utc))
+    with pytest.raises(LookupError):
+        current_run(spark, root, "train")
+    for mode, identifier in [("train", "240718090503"), ("predict", "250101000000"), ("train", "200101000000")]:
+        _complete(spark, root, mode, identifier)
+    record_step(spark, root, "train", "240718100000", "bronze", "started")
+    record_step(spark, root, "train", "240718110000", "bronze", "failed", {"error": "x"})
     assert current_run(spark, root, "train") == "240718090503"
     assert current_run(spark, root, "predict") == "250101000000"
+    with pytest.raises(LookupError):
+        current_run(spark, root, "train", "silver")
+    _complete(spark, root, "train", "200101000000", "silver")
+    assert current_run(spark, root, "train", "silver") == "200101000000"
+    assert step_details(spark, root, "train", "200101000000", "silver") == {"rows": "3"}
     with pytest.raises(LookupError):
         current_run(spark, root, "test")
     with pytest.raises(ValueError):
         new_run(spark, root, "other")
+    with pytest.raises(ValueError):
+        record_step(spark, root, "train", "1", "copper", "started")
     assert len(new_run(spark, root, "test")) == 12
 
 
+def test_runs_of_one_second_have_their_own_identifiers(spark, tmp_path):
+    at = datetime(2024, 7, 18, 9, 59, 59, tzinfo=timezone.utc)
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda _: new_run(spark, str(tmp_path), "train", at), range(6)))
+    assert sorted(got) == ["240718095959", *[f"24071810000{k}" for k in range(5)]]
+
+
+def test_latest_run_is_found_in_few_files_among_many(spark, tmp_path):
+    """Ten thousand runs: only the newest hours are read, even if their runs all failed."""
+    root, rows = str(tmp_path), []
+    for k in range(10_000):
+        hour, own = divmod(k, 20)
+        identifier = f"{datetime(2024, 1, 1, tzinfo=timezone.utc) + timedelta(hours=hour, seconds=own):%y%m%d%H%M%S}"
+        rows.append(("train", identifier, "bronze", "failed" if k >= 9_970 else "complete", None, {}, identifier[:8]))
+    log = spark.createDataFrame(rows, f"{RUN_SCHEMA}, slot string")
+    log.repartition("slot").write.partitionBy("slot").parquet(f"{root}/runs/train")
+    read = []
+    for part in run_log(spark, root, "train").newest_first():
+        read += part.inputFiles()
+        if not part.filter("state = 'complete'").isEmpty():
+            break
+    assert len(read) <= 3
+    assert current_run(spark, root, "train") == rows[9_969][1]
+    assert run_states(read_runs(spark, root, "train")).count() == 10_000
+
+
 def test_model_runs(spark, rows, tmp_path):
     root = str(tmp_path)
     for run_id, year in [("r2", 2022), ("r3", 2023), ("r1", 2021)]:
@@ -169,6 +248,36 @@ def test_pages_equal_a_serial_walk(spark, seed, broadcast_bytes):
     spark.conf.unset(threshold)
 
 
+def test_broken_lines_are_quarantined(spark, tmp_path):
+    lines = [
+        '{"request_id":"r","page_no":0,"object":"list","has_more":true,"data":[{"v":"a"}]}',
+        '{"request_id":"r","page_no":1,"object":"list","has_more":true,"data":[{"v":"b"',
+        "no page at all",
+        '{"request_id":"r","page_no":"two","object":"list","has_more":false,"data":[{"v":"c"}]}',
+    ]
+    (tmp_path / "p.json").write_text("\n".join(lines))
+    pages = read_pages(spark, str(tmp_path), RECORD, keep_all=False)
+    staged = stage_pages(pages, F.col("v") != "x")
+    assert sorted(r.malformed_line for r in quarantined_lines(staged).collect()) == sorted(lines[1:])
+    got = {r.request_id: (r.status, r.pages, r.unnumbered_pages) for r in staged_status(staged).collect()}
+    assert got == {"r": ("complete", 2, 1), None: ("malformed", 2, 2)}
+
+
+def test_staging_opens_pages_once_and_keeps_names_apart(spark):
+    """Records with the page's own field names; only wanted ones are staged, next to one row per page."""
+    record = string_schema(["request_id", "page_no", "page", "v"])
+    rows = [("r", 0, "list", [("own", "x", "p", "a"), ("own", "y", "q", "b")], True), ("r", 1, "list", [], True), ("r", 2, "list", [("o", "z", "r", "a")], False), ("s", 0, "list", None, True)]
+    pages = spark.createDataFrame(rows, StructType(page_schema(record).fields[:5]))
+    staged = stage_pages(pages, F.col("v") == "a")
+    assert staged.count() == 4 and staged.filter("wanted").count() == 2
+    status = staged_status(staged)
+    assert {tuple(r) for r in status.collect()} == {("r", "complete", 2, 3, 0), ("s", "invalid", -1, 1, 0)}
+    got = page_records(staged, status).select("page_no", "record.*").collect()
+    assert sorted(map(tuple, got)) == [(0, "own", "x", "p", "a"), (2, "o", "z", "r", "a")]
+    plan = status._jdf.queryExecution().executedPlan().toString()
+    assert "record" not in plan[plan.index("ReadSchema") :]
+
+
 def test_landed_page_files(spark, tmp_path):
     (tmp_path / "p0.json").write_text('{"request_id":"r","page_no":0,"object":"list","has_more":true,"data":[{"v":"a"},{"v":"b"}]}')
     (tmp_path / "p1.json").write_text('{"request_id":"r","page_no":1,"object":"list","data":[{"v":"c"}]}')
