@@ -1,20 +1,27 @@
 """Document fingerprints as invertible Bloom lookup sketches, in DataFrame functions only.
 
-A text is a set of paragraphs (lines; very long lines are cut at sentence ends),
-each with a 64-bit digest. The sketch has cells of a count, the exclusive or of
-digests, and that of their checks; a digest is put into one cell of each of three
-parts. Sketches of two texts are subtracted cell by cell: what both have cancels
-out, and peeling cells with a single digest recovers the differing ones. Where
-peeling gets stuck the two are sketched again with more cells, up to more than all
-their paragraphs need.
-
-Texts of many paragraphs have several sketches, one for each class of digests, so
-the work for a paragraph does not grow with the text's length.
+A text is a set of paragraphs, each with a 64-bit digest. A paragraph is a line; a
+longer line is cut into sentences of any script, and a longer sentence behind words
+that their own hash picks (behind characters, where nothing parts the words), so a
+change moves no cut but those next to it.
+
+The sketch has cells of a count, the exclusive or of digests, and that of their
+checks; a digest is put into one cell of each of three parts. Sketches of two texts
+are subtracted cell by cell: what both have cancels out, and peeling cells with a
+single digest recovers the differing ones. Texts of many paragraphs have several
+sketches, one for each class of digests by their leading bits; neighbouring classes'
+sketches add up to that of both, so sketches of texts of different length can be
+subtracted too. Where peeling a class gets stuck, its digests are sketched again with
+more cells, up to more than all of them need.
+
+Digests are kept in order, so a class is a stretch of them that is found by halving:
+the work for a paragraph follows the logarithm of the text's length.
 
 Defined cases: null and empty texts have no paragraphs; two texts without any are
 alike (1), one without any and one with some are not (0); repeated paragraphs of a
-text count once; repeated rows have equal fingerprints; extra columns pass through
-``fingerprint``, and input columns named like an added one are replaced.
+text count once; repeated rows have equal fingerprints; ties do not occur, as digests
+are a set; extra columns pass through ``fingerprint``, and input columns named like an
+added one are replaced; a table without rows gives none.
 """
 
 from __future__ import annotations
@@ -28,8 +35,12 @@ from .batches import column, let, others
 
 # Cells of a sketch, and how many paragraphs one sketch is meant for.
 CELLS, LOAD = 36, 12
-# Characters from which a line is cut at sentence ends.
-LONG_LINE = 800
+# Characters from which a line is cut into sentences, and a sentence into pieces.
+LONG = 240
+# One word (or pair of characters) of so many is followed by a cut.
+PIECE = 8
+# Characters of a word from which it is taken for a text of a script without spaces.
+LONG_WORD = 60
 ROUNDS = 12
 
 ADDED = ["digests", "fingerprint"]
@@ -37,11 +48,37 @@ ADDED = ["digests", "fingerprint"]
 _KEYS = "array<struct<digest:bigint,side:int>>"
 
 
+def _cut_behind(parts: Column, picked: Column, between: str) -> Column:
+    """``parts`` joined again, but for the places behind those that are picked."""
+    marked = F.transform(F.arrays_zip(parts.alias("part"), picked.alias("picked")), lambda x: F.concat(x["part"], F.when(x["picked"], F.lit("\n")).otherwise(F.lit(between))))
+    return F.filter(F.split(F.array_join(marked, ""), "\n"), lambda x: F.trim(x) != "")
+
+
+def _picked(value: Column) -> Column:
+    return F.pmod(F.xxhash64(value, F.lit("cut")), F.lit(PIECE).cast("bigint")) == 0
+
+
+def _pieces(sentence: Column) -> Column:
+    def of_word(word: Column) -> Column:
+        pairs = lambda chars: F.transform(chars, lambda c, i: _picked(F.concat(F.coalesce(F.get(chars, i - 1), F.lit("")), c)))
+        cut = let(F.split(word, ""), lambda chars: _cut_behind(chars, pairs(chars), ""))
+        return F.when(F.char_length(word) > LONG_WORD, cut).otherwise(F.array(word))
+
+    words = F.flatten(F.transform(F.split(sentence, " "), of_word))
+    return let(words, lambda w: _cut_behind(w, F.transform(w, _picked), " "))
+
+
+def paragraphs(text: Column) -> Column:
+    """The text's paragraphs in order."""
+    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x != "")
+    sentences = lambda line: F.filter(F.split(line, "(?<=[.!?\u3002\uff01\uff1f\u061f\u06d4\u0964]) *"), lambda x: F.trim(x) != "")
+    cut = lambda line: F.flatten(F.transform(sentences(line), lambda s: F.when(F.char_length(s) > LONG, _pieces(s)).otherwise(F.array(s))))
+    return F.flatten(F.transform(lines, lambda x: F.when(F.char_length(x) > LONG, cut(x)).otherwise(F.array(x))))
+
+
 def digests(text: Column) -> Column:
     """Different 64-bit digests of the text's paragraphs, sorted."""
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x != "")
-    parts = F.transform(lines, lambda x: F.when(F.char_length(x) > LONG_LINE, F.split(x, r"(?<=[.!?]) +")).otherwise(F.array(x)))
-    return F.sort_array(F.array_distinct(F.transform(F.flatten(parts), lambda x: F.xxhash64(x))))
+    return F.sort_array(F.array_distinct(F.transform(paragraphs(text), lambda x: F.xxhash64(x))))
 
 
 def classes(own: Column) -> Column:
@@ -49,8 +86,28 @@ def classes(own: Column) -> Column:
     return F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.size(own) / LOAD, F.lit(1.0))))).cast("int")
 
 
+def _first_from(own: Column, limit: Column) -> Column:
+    """Number of sorted digests below ``limit``, by halving."""
+    size = F.size(own)
+    start = F.struct(F.lit(0).alias("low"), size.alias("high"))
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        below = F.coalesce(F.get(own, middle) < limit, F.lit(False))
+        narrowed = F.struct(F.when(below, middle + 1).otherwise(s["low"]).alias("low"), F.when(below, s["high"]).otherwise(middle).alias("high"))
+        return let(narrowed, lambda new: F.when(s["low"] < s["high"], new).otherwise(s))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(size + 1)).cast("int"))
+    return F.aggregate(steps, start, halve, lambda s: s["low"])
+
+
 def _of_class(own: Column, k: Column, n: Column) -> Column:
-    return F.filter(own, lambda d: F.pmod(d, n.cast("bigint")) == k)
+    """The digests whose leading bits are ``k``, of ``n`` classes: a stretch of the sorted digests."""
+    bits = F.round(F.log2(n)).cast("int")
+    limit = lambda c: F.call_function("shiftleft", c.cast("bigint") - F.floor(n / 2).cast("bigint"), F.lit(64) - bits)
+    first = F.when(k == 0, F.lit(0)).otherwise(_first_from(own, limit(k)))
+    end = F.when(k >= n - 1, F.size(own)).otherwise(_first_from(own, limit(k + 1)))
+    return let(first, lambda f: F.slice(own, f + 1, end - f))
 
 
 def _check(digest: Column) -> Column:
@@ -109,8 +166,27 @@ def peel(cells: Column, third: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, done)
 
 
-def difference(a: Column, b: Column) -> Column:
-    """(digest, side) of what only one of two sets of digests has: side 1 for ``a``, -1 for ``b``."""
+def sketches(own: Column) -> Column:
+    """The sketch of each class of a set of digests, in order."""
+    third = F.lit(CELLS // 3)
+    of = lambda n: F.transform(F.sequence(F.lit(0), n - 1), lambda k: let(_of_class(own, k, n), lambda x: sketch(x, third)))
+    return let(classes(own), of)
+
+
+def _merged(held: Column, k: Column, n: Column) -> Column:
+    """The sketch of class ``k`` of ``n``, from those of as many or more classes."""
+    add = lambda x, y: F.struct((x["n"] + y["n"]).alias("n"), x["key"].bitwiseXOR(y["key"]).alias("key"), x["check"].bitwiseXOR(y["check"]).alias("check"))
+    each = F.floor(F.size(held) / n).cast("int")
+    rest = F.slice(held, k * each + 2, F.greatest(each - 1, F.lit(0)))
+    return F.aggregate(rest, F.get(held, k * each), lambda a, b: F.zip_with(a, b, add))
+
+
+def difference(a: Column, b: Column, a_sketches: Column | None = None, b_sketches: Column | None = None) -> Column:
+    """(digest, side) of what only one of two sets of digests has: side 1 for ``a``, -1 for ``b``.
+
+    The sketches, given or made here, are subtracted; the digests are looked at only
+    for classes in which that gets stuck.
+    """
 
     def at_size(x: Column, y: Column, third: Column) -> Column:
         return peel(subtract(sketch(x, third), sketch(y, third)), third)
@@ -119,45 +195,45 @@ def difference(a: Column, b: Column) -> Column:
         only = lambda p, q, side: F.transform(F.array_except(p, q), lambda d: F.struct(d.alias("digest"), F.lit(side).alias("side")))
         return F.concat(only(x, y, 1), only(y, x, -1))
 
-    def of_class(x: Column, y: Column) -> Column:
+    def again(x: Column, y: Column) -> Column:
         ample = (F.size(x) + F.size(y)) + CELLS // 3
         # The last is reached only if two sets differ where even ample sketches get stuck.
-        return F.coalesce(at_size(x, y, F.lit(CELLS // 3)), at_size(x, y, F.lit(CELLS)), at_size(x, y, ample), exact(x, y))
+        return F.coalesce(at_size(x, y, F.lit(CELLS)), at_size(x, y, ample), exact(x, y))
 
-    n = F.greatest(classes(a), classes(b))
+    def compared(p: Column, q: Column) -> Column:
+        few, many = F.least(F.size(p), F.size(q)), F.greatest(F.size(p), F.size(q))
 
-    def all_classes(n: Column) -> Column:
-        each = F.transform(
-            F.sequence(F.lit(0), n - 1),
-            lambda k: let(F.struct(_of_class(a, k, n).alias("x"), _of_class(b, k, n).alias("y")), lambda s: of_class(s["x"], s["y"])),
-        )
-        return F.flatten(each)
+        def smaller_classes(k: Column) -> Column:
+            each = F.floor(many / few).cast("int")
+            parts = F.sequence(k * each, (k + 1) * each - 1)
+            return F.flatten(F.transform(parts, lambda j: let(F.struct(_of_class(a, j, many).alias("x"), _of_class(b, j, many).alias("y")), lambda s: again(s["x"], s["y"]))))
 
-    return let(n, all_classes)
+        def of_class(k: Column) -> Column:
+            return F.coalesce(peel(subtract(_merged(p, k, few), _merged(q, k, few)), F.lit(CELLS // 3)), smaller_classes(k))
 
+        return F.flatten(F.transform(F.sequence(F.lit(0), few - 1), of_class))
 
-def likeness(a: Column, b: Column) -> Column:
-    """Share of paragraphs that two sets of digests have in common: 1 equal, 0 nothing."""
-    both = F.size(a) + F.size(b)
-    return F.when(both == 0, F.lit(1.0)).otherwise(1.0 - F.size(difference(a, b)) / both)
+    p = sketches(a) if a_sketches is None else a_sketches
+    q = sketches(b) if b_sketches is None else b_sketches
+    return let(F.struct(p.alias("p"), q.alias("q")), lambda s: compared(s["p"], s["q"]))
 
 
-def as_text(own: Column) -> Column:
-    """The sketches of a set of digests: their number, then all cells, empty ones left blank."""
-    third = F.lit(CELLS // 3)
+def likeness(a: Column, b: Column, a_sketches: Column | None = None, b_sketches: Column | None = None) -> Column:
+    """Share of paragraphs that two sets of digests have in common: 1 equal, 0 nothing."""
+    both = F.size(a) + F.size(b)
+    return F.when(both == 0, F.lit(1.0)).otherwise(1.0 - F.size(difference(a, b, a_sketches, b_sketches)) / both)
 
-    def shown(n: Column) -> Column:
-        cells = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda k: sketch(_of_class(own, k, n), third)))
-        texts = F.transform(cells, lambda c: F.when(c["n"] == 0, F.lit("")).otherwise(F.concat_ws(".", c["n"], F.hex(c["key"]), F.hex(c["check"]))))
-        return F.concat(n, F.lit(":"), F.array_join(texts, ","))
 
-    return let(classes(own), shown)
+def as_text(held: Column) -> Column:
+    """Sketches as a text: their number, then all cells, empty ones left blank."""
+    texts = F.transform(F.flatten(held), lambda c: F.when(c["n"] == 0, F.lit("")).otherwise(F.concat_ws(".", c["n"], F.hex(c["key"]), F.hex(c["check"]))))
+    return F.concat(F.size(held), F.lit(":"), F.array_join(texts, ","))
 
 
 def fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with digests and fingerprint."""
     out = docs.select(*map(column, others(docs, ADDED)), digests(column(text)).alias("digests"))
-    return out.withColumn("fingerprint", as_text(F.col("digests")))
+    return out.withColumn("fingerprint", as_text(sketches(F.col("digests"))))
 
 
 def with_next(docs: DataFrame, key: str = "doc_id") -> DataFrame:

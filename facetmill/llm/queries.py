@@ -96,14 +96,19 @@ def op7_document_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.digests(F.col("edited")).alias("changed"),
         "next_digests",
     )
+    ready = ready.withColumns({f"{c}_sketches": fingerprints.sketches(F.col(c)) for c in ("own", "changed", "next_digests")})
+
+    def likeness(other: str) -> Column:
+        return fingerprints.likeness(F.col("own"), F.col(other), F.col("own_sketches"), F.col(f"{other}_sketches"))
+
     return ready.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        fingerprints.as_text(F.col("own")).alias("fingerprint"),
-        fingerprints.as_text(F.col("changed")).alias("edited_fingerprint"),
-        fingerprints.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-        fingerprints.likeness(F.col("own"), F.col("next_digests")).alias("near_next"),
+        fingerprints.as_text(F.col("own_sketches")).alias("fingerprint"),
+        fingerprints.as_text(F.col("changed_sketches")).alias("edited_fingerprint"),
+        likeness("changed").alias("near_edited"),
+        likeness("next_digests").alias("near_next"),
     )
 
 

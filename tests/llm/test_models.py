@@ -126,6 +126,33 @@ def test_differences_are_recovered(spark):
         assert abs(row["near"] - (1 - len(a ^ b) / (len(a) + len(b)) if a or b else 1.0)) < 1e-9
 
 
+def test_long_lines_of_any_script_stay_alike(spark):
+    """Most of a text is kept: a changed end, some changed characters, words without any sentence."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghijklmnoprstu") for _ in range(r.randint(2, 9)))
+    line = " ".join(word() for _ in range(140))[:787]
+    chinese = "".join(chr(r.randrange(0x4E00, 0x5400)) + ("。" if r.random() < 0.03 else "") for _ in range(3000))
+    changed = list(chinese)
+    for k in r.sample(range(3000), 10):
+        changed[k] = "x"
+    unparted = "".join(chr(r.randrange(0x0E01, 0x0E2E)) for _ in range(2000))
+    pairs = [(line, line[:590] + " " + " ".join(word() for _ in range(35))), (chinese, "".join(changed)), (unparted, unparted[:1500] + unparted[:500]), (line, " ".join(word() for _ in range(140)))]
+    frame = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "id long, a string, b string")
+    near = {x["id"]: x["near"] for x in frame.select("id", fingerprints.likeness(fingerprints.digests(frame.a), fingerprints.digests(frame.b)).alias("near")).collect()}
+    assert near[0] > 0.5 and near[1] > 0.8 and near[2] > 0.5 and near[3] == 0
+
+
+def test_many_lines_and_texts_of_different_length(spark):
+    """Thousands of classes, and sketches of 4,096 classes against those of one."""
+    lines = [f"line {k}" for k in range(30_000)]
+    cases = [("\n".join(lines), "\n".join(lines[:22_500] + ["x"])), ("\n".join(lines), "\n".join(lines[:5])), ("\n".join(lines[:40]), "\n".join(lines[20:3000]))]
+    frame = spark.createDataFrame([(k, *c) for k, c in enumerate(cases)], "id long, a string, b string")
+    frame = frame.select("id", "a", "b", fingerprints.digests(frame.a).alias("x"), fingerprints.digests(frame.b).alias("y"))
+    for row in frame.select("*", fingerprints.likeness(frame.x, frame.y).alias("near")).collect():
+        a, b = set(row["a"].split("\n")), set(row["b"].split("\n"))
+        assert row["near"] == pytest.approx(1 - len(a ^ b) / (len(a) + len(b)), abs=1e-12)
+
+
 def test_next_keys(spark):
     ids = random.Random(7).sample(range(10**6), 500)
     got = {r["doc_id"]: r["next"] for r in fingerprints.with_next(spark.createDataFrame([(i,) for i in [*ids, None, ids[0]]], "doc_id long")).collect()}
