@@ -36,7 +36,7 @@ from .batches import column, let, others
 # Cells of a sketch, and how many paragraphs one sketch is meant for.
 CELLS, LOAD = 36, 12
 # Characters from which a line is cut into sentences, and a sentence into pieces.
-LONG = 240
+LONG = 320
 # One word (or pair of characters) of so many is followed by a cut.
 PIECE = 8
 # Characters of a word from which it is taken for a text of a script without spaces.
@@ -101,12 +101,16 @@ def _first_from(own: Column, limit: Column) -> Column:
     return F.aggregate(steps, start, halve, lambda s: s["low"])
 
 
+def _limit(k: Column, n: Column) -> Column:
+    """The smallest digest of class ``k`` of ``n`` (not for class 0 and beyond the last)."""
+    bits = F.round(F.log2(n)).cast("int")
+    return F.call_function("shiftleft", k.cast("bigint") - F.floor(n / 2).cast("bigint"), F.lit(64) - bits)
+
+
 def _of_class(own: Column, k: Column, n: Column) -> Column:
     """The digests whose leading bits are ``k``, of ``n`` classes: a stretch of the sorted digests."""
-    bits = F.round(F.log2(n)).cast("int")
-    limit = lambda c: F.call_function("shiftleft", c.cast("bigint") - F.floor(n / 2).cast("bigint"), F.lit(64) - bits)
-    first = F.when(k == 0, F.lit(0)).otherwise(_first_from(own, limit(k)))
-    end = F.when(k >= n - 1, F.size(own)).otherwise(_first_from(own, limit(k + 1)))
+    first = F.when(k == 0, F.lit(0)).otherwise(_first_from(own, _limit(k, n)))
+    end = F.when(k >= n - 1, F.size(own)).otherwise(_first_from(own, _limit(k + 1, n)))
     return let(first, lambda f: F.slice(own, f + 1, end - f))
 
 
@@ -148,20 +152,22 @@ def peel(cells: Column, third: Column) -> Column:
         alone = F.filter(now, lambda c: (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"])))
         return F.array_distinct(F.transform(alone, lambda c: _entry(c["key"], c["n"], third)))
 
-    def without(c: Column, j: Column, gone: Column) -> Column:
-        here = F.filter(gone, lambda e: (e["c0"] == j) | (e["c1"] == j) | (e["c2"] == j))
-        take = lambda x, e: F.struct((x["n"] - e["n"]).alias("n"), x["key"].bitwiseXOR(e["key"]).alias("key"), x["check"].bitwiseXOR(e["check"]).alias("check"))
-        return F.aggregate(here, c, take)
+    take = lambda x, e: F.struct((x["n"] - e["n"]).alias("n"), x["key"].bitwiseXOR(e["key"]).alias("key"), x["check"].bitwiseXOR(e["check"]).alias("check"))
+
+    def without(now: Column, gone: Column, p: int) -> Column:
+        """The cells of one part without what is gone."""
+        here = lambda j: F.filter(gone, lambda e: e[f"c{p}"] == j + third * p)
+        return F.transform(F.slice(now, third * p + 1, third), lambda c, j: F.aggregate(here(j), c, take))
 
     def step(state: Column, _: Column) -> Column:
         def peeled(gone: Column) -> Column:
             found = F.transform(gone, lambda e: F.struct(e["key"].alias("digest"), e["n"].alias("side")))
-            new = F.struct(F.transform(state["cells"], lambda c, j: without(c, j, gone)).alias("cells"), F.concat(state["keys"], found).alias("keys"))
-            return F.when(F.size(gone) > 0, new).otherwise(state)
+            left = F.concat(*[without(state["cells"], gone, p) for p in range(3)])
+            return F.struct(left.alias("cells"), F.concat(state["keys"], found).alias("keys"), (F.size(gone) == 0).alias("ended"))
 
-        return let(pure(state["cells"]), peeled)
+        return F.when(state["ended"], state).otherwise(let(pure(state["cells"]), peeled))
 
-    start = F.struct(cells.alias("cells"), F.array().cast(_KEYS).alias("keys"))
+    start = F.struct(cells.alias("cells"), F.array().cast(_KEYS).alias("keys"), F.lit(False).alias("ended"))
     done = lambda s: F.when(~F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["key"] != 0)), s["keys"])
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, done)
 
@@ -169,7 +175,16 @@ def peel(cells: Column, third: Column) -> Column:
 def sketches(own: Column) -> Column:
     """The sketch of each class of a set of digests, in order."""
     third = F.lit(CELLS // 3)
-    of = lambda n: F.transform(F.sequence(F.lit(0), n - 1), lambda k: let(_of_class(own, k, n), lambda x: sketch(x, third)))
+
+    def of(n: Column) -> Column:
+        ends = F.transform(F.sequence(F.lit(1), n), lambda k: F.when(k >= n, F.size(own)).otherwise(_first_from(own, _limit(k, n))))
+
+        def between(e: Column) -> Column:
+            first = lambda k: F.coalesce(F.get(e, k - 1), F.lit(0))
+            return F.transform(e, lambda end, k: let(F.slice(own, first(k) + 1, end - first(k)), lambda x: sketch(x, third)))
+
+        return let(ends, between)
+
     return let(classes(own), of)
 
 
@@ -196,9 +211,10 @@ def difference(a: Column, b: Column, a_sketches: Column | None = None, b_sketche
         return F.concat(only(x, y, 1), only(y, x, -1))
 
     def again(x: Column, y: Column) -> Column:
-        ample = (F.size(x) + F.size(y)) + CELLS // 3
+        both = F.size(x) + F.size(y)
+        fair, ample = F.floor(both * 0.6).cast("int") + 4, both * 2 + CELLS // 3
         # The last is reached only if two sets differ where even ample sketches get stuck.
-        return F.coalesce(at_size(x, y, F.lit(CELLS)), at_size(x, y, ample), exact(x, y))
+        return F.coalesce(at_size(x, y, fair), at_size(x, y, ample), exact(x, y))
 
     def compared(p: Column, q: Column) -> Column:
         few, many = F.least(F.size(p), F.size(q)), F.greatest(F.size(p), F.size(q))
