@@ -36,7 +36,7 @@ from .batches import column, let, others
 # Cells of a sketch, and how many paragraphs one sketch is meant for.
 CELLS, LOAD = 36, 12
 # Characters from which a line is cut into sentences, and a sentence into pieces.
-LONG = 320
+LONG = 400
 # One word (or pair of characters) of so many is followed by a cut.
 PIECE = 8
 # Characters of a word from which it is taken for a text of a script without spaces.
