@@ -9,13 +9,13 @@ The sketch has cells of a count, the exclusive or of digests, and that of their
 checks; a digest is put into one cell of each of three parts. Sketches of two texts
 are subtracted cell by cell: what both have cancels out, and peeling cells with a
 single digest recovers the differing ones. Texts of many paragraphs have several
-sketches, one for each class of digests by their leading bits; neighbouring classes'
-sketches add up to that of both, so sketches of texts of different length can be
-subtracted too. Where peeling a class gets stuck, its digests are sketched again with
-more cells, up to more than all of them need.
-
-Digests are kept in order, so a class is a stretch of them that is found by halving:
-the work for a paragraph follows the logarithm of the text's length.
+sketches, one for each class of digests by their leading bits. Digests are kept in
+order, so a class is a stretch of them that is found by halving: the work for a
+paragraph follows the logarithm of the text's length. Where peeling a class gets
+stuck, its digests are sketched again with more cells, up to more than all of them
+need. Two texts are compared by as many classes as the longer one has, so what is
+subtracted are sketches of the digests, the fingerprints themselves where both have
+equally many.
 
 Defined cases: null and empty texts have no paragraphs; two texts without any are
 alike (1), one without any and one with some are not (0); repeated paragraphs of a
@@ -36,7 +36,7 @@ from .batches import column, let, others
 # Cells of a sketch, and how many paragraphs one sketch is meant for.
 CELLS, LOAD = 36, 12
 # Characters from which a line is cut into sentences, and a sentence into pieces.
-LONG = 400
+LONG = 600
 # One word (or pair of characters) of so many is followed by a cut.
 PIECE = 8
 # Characters of a word from which it is taken for a text of a script without spaces.
@@ -172,36 +172,8 @@ def peel(cells: Column, third: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, done)
 
 
-def sketches(own: Column) -> Column:
-    """The sketch of each class of a set of digests, in order."""
-    third = F.lit(CELLS // 3)
-
-    def of(n: Column) -> Column:
-        ends = F.transform(F.sequence(F.lit(1), n), lambda k: F.when(k >= n, F.size(own)).otherwise(_first_from(own, _limit(k, n))))
-
-        def between(e: Column) -> Column:
-            first = lambda k: F.coalesce(F.get(e, k - 1), F.lit(0))
-            return F.transform(e, lambda end, k: let(F.slice(own, first(k) + 1, end - first(k)), lambda x: sketch(x, third)))
-
-        return let(ends, between)
-
-    return let(classes(own), of)
-
-
-def _merged(held: Column, k: Column, n: Column) -> Column:
-    """The sketch of class ``k`` of ``n``, from those of as many or more classes."""
-    add = lambda x, y: F.struct((x["n"] + y["n"]).alias("n"), x["key"].bitwiseXOR(y["key"]).alias("key"), x["check"].bitwiseXOR(y["check"]).alias("check"))
-    each = F.floor(F.size(held) / n).cast("int")
-    rest = F.slice(held, k * each + 2, F.greatest(each - 1, F.lit(0)))
-    return F.aggregate(rest, F.get(held, k * each), lambda a, b: F.zip_with(a, b, add))
-
-
-def difference(a: Column, b: Column, a_sketches: Column | None = None, b_sketches: Column | None = None) -> Column:
-    """(digest, side) of what only one of two sets of digests has: side 1 for ``a``, -1 for ``b``.
-
-    The sketches, given or made here, are subtracted; the digests are looked at only
-    for classes in which that gets stuck.
-    """
+def difference(a: Column, b: Column) -> Column:
+    """(digest, side) of what only one of two sets of digests has: side 1 for ``a``, -1 for ``b``."""
 
     def at_size(x: Column, y: Column, third: Column) -> Column:
         return peel(subtract(sketch(x, third), sketch(y, third)), third)
@@ -210,46 +182,45 @@ def difference(a: Column, b: Column, a_sketches: Column | None = None, b_sketche
         only = lambda p, q, side: F.transform(F.array_except(p, q), lambda d: F.struct(d.alias("digest"), F.lit(side).alias("side")))
         return F.concat(only(x, y, 1), only(y, x, -1))
 
-    def again(x: Column, y: Column) -> Column:
-        both = F.size(x) + F.size(y)
-        fair, ample = F.floor(both * 0.6).cast("int") + 4, both * 2 + CELLS // 3
+    def of_class(x: Column, y: Column) -> Column:
+        ample = (F.size(x) + F.size(y)) + CELLS // 3
         # The last is reached only if two sets differ where even ample sketches get stuck.
-        return F.coalesce(at_size(x, y, fair), at_size(x, y, ample), exact(x, y))
-
-    def compared(p: Column, q: Column) -> Column:
-        few, many = F.least(F.size(p), F.size(q)), F.greatest(F.size(p), F.size(q))
+        return F.coalesce(at_size(x, y, F.lit(CELLS // 3)), at_size(x, y, F.lit(CELLS)), at_size(x, y, ample), exact(x, y))
 
-        def smaller_classes(k: Column) -> Column:
-            each = F.floor(many / few).cast("int")
-            parts = F.sequence(k * each, (k + 1) * each - 1)
-            return F.flatten(F.transform(parts, lambda j: let(F.struct(_of_class(a, j, many).alias("x"), _of_class(b, j, many).alias("y")), lambda s: again(s["x"], s["y"]))))
+    n = F.greatest(classes(a), classes(b))
 
-        def of_class(k: Column) -> Column:
-            return F.coalesce(peel(subtract(_merged(p, k, few), _merged(q, k, few)), F.lit(CELLS // 3)), smaller_classes(k))
+    def all_classes(n: Column) -> Column:
+        each = F.transform(
+            F.sequence(F.lit(0), n - 1),
+            lambda k: let(F.struct(_of_class(a, k, n).alias("x"), _of_class(b, k, n).alias("y")), lambda s: of_class(s["x"], s["y"])),
+        )
+        return F.flatten(each)
 
-        return F.flatten(F.transform(F.sequence(F.lit(0), few - 1), of_class))
+    return let(n, all_classes)
 
-    p = sketches(a) if a_sketches is None else a_sketches
-    q = sketches(b) if b_sketches is None else b_sketches
-    return let(F.struct(p.alias("p"), q.alias("q")), lambda s: compared(s["p"], s["q"]))
 
-
-def likeness(a: Column, b: Column, a_sketches: Column | None = None, b_sketches: Column | None = None) -> Column:
+def likeness(a: Column, b: Column) -> Column:
     """Share of paragraphs that two sets of digests have in common: 1 equal, 0 nothing."""
     both = F.size(a) + F.size(b)
-    return F.when(both == 0, F.lit(1.0)).otherwise(1.0 - F.size(difference(a, b, a_sketches, b_sketches)) / both)
+    return F.when(both == 0, F.lit(1.0)).otherwise(1.0 - F.size(difference(a, b)) / both)
+
+
+def as_text(own: Column) -> Column:
+    """The sketches of a set of digests: their number, then all cells, empty ones left blank."""
+    third = F.lit(CELLS // 3)
 
+    def shown(n: Column) -> Column:
+        cells = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda k: sketch(_of_class(own, k, n), third)))
+        texts = F.transform(cells, lambda c: F.when(c["n"] == 0, F.lit("")).otherwise(F.concat_ws(".", c["n"], F.hex(c["key"]), F.hex(c["check"]))))
+        return F.concat(n, F.lit(":"), F.array_join(texts, ","))
 
-def as_text(held: Column) -> Column:
-    """Sketches as a text: their number, then all cells, empty ones left blank."""
-    texts = F.transform(F.flatten(held), lambda c: F.when(c["n"] == 0, F.lit("")).otherwise(F.concat_ws(".", c["n"], F.hex(c["key"]), F.hex(c["check"]))))
-    return F.concat(F.size(held), F.lit(":"), F.array_join(texts, ","))
+    return let(classes(own), shown)
 
 
 def fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with digests and fingerprint."""
     out = docs.select(*map(column, others(docs, ADDED)), digests(column(text)).alias("digests"))
-    return out.withColumn("fingerprint", as_text(sketches(F.col("digests"))))
+    return out.withColumn("fingerprint", as_text(F.col("digests")))
 
 
 def with_next(docs: DataFrame, key: str = "doc_id") -> DataFrame:
