@@ -9,6 +9,7 @@ from .plans import (
     gold_job,
     predict_df,
     predict_job,
+    read_bronze_history,
     read_load_status,
     read_quarantine,
     silver_job,
@@ -29,6 +30,7 @@ __all__ = [
     "gold_transform",
     "predict_df",
     "predict_job",
+    "read_bronze_history",
     "read_load_status",
     "read_quarantine",
     "select_faces",

@@ -1,12 +1,16 @@
 """Benchmark decontamination: documents are scanned for windows of benchmark words.
 
-The benchmark is read in blocks of bounded size. The windows of a block are sent
-to every task as one sorted table of hashes; a document's windows are looked up
-there, and every hit is verified on its words. The hits of the blocks are united
-per row, so a benchmark of any size takes more passes and not more memory.
+The benchmark is read in blocks of bounded size. The windows of a block are sent to
+every task as one sorted table of hashes, flat arrays beside the block's text; a
+document's windows are looked up there, and every hit is verified on its words. With
+several blocks, the rows are numbered in a written table, each block's hits are
+written and its table is given up before the next block is read, and the hits are
+united per row at the end: a benchmark of any size takes more passes and not more
+memory.
 
 Defined cases: null and empty texts have no words and are never hit; an item
-without words matches nothing; an item shorter than the window is one window;
+without words matches nothing; an item shorter than the window is one window; a window
+that several items share is a hit of each; items without an id are passed over;
 repeated rows get equal results; extra columns pass through, and input columns
 named like an added one are replaced. A benchmark without rows hits nothing.
 """
@@ -15,11 +19,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import ALPHANUMERIC, Words, add_columns, others, set_aside
+from facetmill.session import materialise
+
+from .batches import ALPHANUMERIC, Words, add_columns, column, set_aside
 
 WINDOW = 10
 # Text bytes of the benchmark that one pass sends to the tasks.
@@ -35,47 +42,55 @@ ADDED = T.StructType(
 
 
 class WindowTable:
-    """Windows of benchmark items by length, hash and words."""
+    """Windows of benchmark items, by length: sorted hashes, and the first word of each."""
 
     def __init__(self, items: list[tuple[str, str | None]], window: int):
-        words = Words(pa.array([text for _, text in items], pa.string()), ALPHANUMERIC)
-        found: dict[int, dict[int, dict[bytes, set[str]]]] = {}
-        for row, (name, _) in enumerate(items):
-            count = int(words.counts[row])
-            if count:
-                length = min(window, count)
-                hashes, firsts = self._row(words, row, length)
-                for h, f in zip(hashes.tolist(), firsts.tolist()):
-                    found.setdefault(length, {}).setdefault(h, {}).setdefault(words.text(f, length), set()).add(name)
-        self.by_length = {n: (np.array(sorted(t), np.uint64), t) for n, t in found.items()}
+        self.names = [name for name, _ in items]
+        self.words = Words(pa.array([text for _, text in items], pa.string()), ALPHANUMERIC)
+        lengths = np.minimum(self.words.counts, window)
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         # One bit for each of the lower 20 bits of a hash: most windows end here.
-        self.bits = {n: np.bincount((h & np.uint64(0xFFFFF)).astype(np.int64), minlength=1 << 20).astype(bool) for n, (h, _) in self.by_length.items()}
-
-    @staticmethod
-    def _row(words: Words, row: int, length: int):
-        hashes, firsts = words.windows(length)
-        own = (firsts >= words.firsts[row]) & (firsts < words.firsts[row + 1])
-        return hashes[own], firsts[own]
+        self.bits: dict[int, np.ndarray] = {}
+        for length in np.unique(lengths[lengths > 0]).tolist():
+            hashes, firsts = self.words.windows(length)
+            own = lengths[self.words.row[firsts]] == length
+            order = np.argsort(hashes[own], kind="stable")
+            self.by_length[length] = hashes[own][order], firsts[own][order].astype(np.int32)
+            self.bits[length] = np.zeros(1 << 20, bool)
+            self.bits[length][(hashes[own] & np.uint64(0xFFFFF)).astype(np.int64)] = True
+        # What a scan reads, in small numbers: the text, and its words' places and rows.
+        self.words.starts, self.words.ends = self.words.starts.astype(np.int32), self.words.ends.astype(np.int32)
+        self.words.row, self.words.data = self.words.row.astype(np.int32), self.words.data.copy()
+        del self.words.hashes, self.words.firsts, self.words.counts, self.words.offsets
+
+    def _items(self, length: int, low: int, high: int, text: bytes) -> frozenset[int]:
+        """Rows of the items whose window, one of those from ``low`` to ``high``, reads ``text``."""
+        firsts = self.by_length[length][1][low:high].tolist()
+        return frozenset(int(self.words.row[f]) for f in firsts if self.words.text(f, length) == text)
 
     def scan(self, texts: pa.Array) -> list[pa.Array]:
         words = Words(texts, ALPHANUMERIC)
         spans: dict[int, list[tuple[int, int]]] = {}
-        items: dict[int, set[str]] = {}
-        for length, (hashes, table) in self.by_length.items():
+        hits: dict[int, set[frozenset[int]]] = {}
+        for length, (hashes, _) in self.by_length.items():
             own, firsts = words.windows(length)
             maybe = np.flatnonzero(self.bits[length][(own & np.uint64(0xFFFFF)).astype(np.int64)])
-            place = np.searchsorted(hashes, own[maybe])
-            hit = maybe[hashes[np.minimum(place, len(hashes) - 1)] == own[maybe]]
-            for h, f in zip(own[hit].tolist(), firsts[hit].tolist()):
-                if names := table[h].get(words.text(f, length)):
+            low, high = np.searchsorted(hashes, own[maybe]), np.searchsorted(hashes, own[maybe], "right")
+            found: dict[bytes, frozenset[int]] = {}
+            for f, a, b in zip(firsts[maybe][high > low].tolist(), low[high > low].tolist(), high[high > low].tolist()):
+                text = words.text(f, length)
+                if text not in found:
+                    found[text] = self._items(length, a, b, text)
+                if found[text]:
                     row = int(words.row[f])
                     start = f - int(words.firsts[row])
                     spans.setdefault(row, []).append((start, start + length))
-                    items.setdefault(row, set()).update(names)
+                    hits.setdefault(row, set()).add(found[text])
+        items = {row: sorted({self.names[i] for i in frozenset().union(*sets)}) for row, sets in hits.items()}
         return [
             pa.array(words.counts.astype(np.int64)),
             pa.array([_united(spans.get(r, [])) for r in range(words.rows)], pa.list_(pa.int64())),
-            pa.array([sorted(items.get(r, ())) for r in range(words.rows)], pa.list_(pa.string())),
+            pa.array([items.get(r, []) for r in range(words.rows)], pa.list_(pa.string())),
         ]
 
 
@@ -102,37 +117,49 @@ def scan_documents(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list[str] | None = None, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """``docs`` with n_words, hit_spans (word places: start, end, start, end, ...) and hit_items."""
-    context = docs.sparkSession.sparkContext
     blocks = _blocks(benchmark, block_bytes)
     if len(blocks) <= 1:
-        return _scan_block(context, docs, blocks, window, keep)
-    out = _scan_block(context, docs, blocks[:1], window, list(dict.fromkeys([*(keep or docs.columns), "text"])))
-    for block in blocks[1:]:
-        # The next pass scans the same rows; its hits are united with those so far.
-        renamed = out.withColumnsRenamed({"hit_spans": "__spans", "hit_items": "__items"})
-        out = _scan_block(context, renamed, [block], window, None)
-        out = out.withColumn("hit_spans", _unite("__spans", "hit_spans")).withColumn("hit_items", F.array_sort(F.array_union("__items", "hit_items")))
-        out = out.drop("__spans", "__items")
-    return out.select(*[c for c in (keep or others(docs, ADDED.names)) if c in out.columns and c not in ADDED.names], *ADDED.names)
-
-
-def _unite(left: str, right: str):
-    pairs = lambda c: F.transform(
-        F.filter(F.sequence(F.lit(0), F.greatest(F.size(c) - 1, F.lit(0))), lambda i: (i % 2 == 0) & (i < F.size(c))),
-        lambda i: F.struct(F.get(c, i).alias("s"), F.get(c, i + 1).alias("e")),
+        return _scan_block(docs, blocks, window, keep)[0]
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ADDED.names]
+    numbered = docs.select(*map(column, dict.fromkeys([*kept, "text"])), F.monotonically_increasing_id().alias("__row"))
+    rows = materialise(numbered, "numbered-documents")
+    parts = []
+    for k, block in enumerate(blocks):
+        found, table = _scan_block(rows.select("__row", "text"), [block], window, ["__row"])
+        # The first pass says how many words each row has; the others only what they hit.
+        parts.append(materialise(found if k == 0 else found.filter(F.size("hit_spans") > 0), "benchmark-hits"))
+        table.unpersist()
+    hits = parts[0]
+    for part in parts[1:]:
+        hits = hits.unionByName(part)
+    united = hits.groupBy("__row").agg(
+        F.max("n_words").alias("n_words"),
+        _unite(F.flatten(F.collect_list(_pairs(F.col("hit_spans"))))).alias("hit_spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_items")))).alias("hit_items"),
     )
+    return rows.join(united, "__row").select(*map(column, kept), *ADDED.names)
+
+
+def _pairs(spans: Column) -> Column:
+    """Spans as (start, end), from starts and ends in turn."""
+    starts = F.filter(F.transform(spans, lambda x, i: F.struct(x.alias("s"), F.get(spans, i + 1).alias("e"), (i % 2 == 0).alias("first"))), lambda p: p["first"])
+    return F.transform(starts, lambda p: F.struct(p["s"].alias("s"), p["e"].alias("e")))
+
+
+def _unite(pairs: Column) -> Column:
+    """Starts and ends of the united spans, in turn."""
     empty = F.array().cast("array<bigint>")
     add = lambda acc, x: F.when(
         (F.size(acc) > 0) & (x["s"] <= F.element_at(acc, -1)),
         F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.greatest(F.element_at(acc, -1), x["e"]))),
     ).otherwise(F.concat(acc, F.array(x["s"], x["e"])))
-    return F.aggregate(F.array_sort(F.concat(pairs(left), pairs(right))), empty, add)
+    return F.aggregate(F.array_sort(pairs), empty, add)
 
 
-def _scan_block(context, docs: DataFrame, blocks: list[DataFrame], window: int, keep) -> DataFrame:
+def _scan_block(docs: DataFrame, blocks: list[DataFrame], window: int, keep) -> tuple[DataFrame, Broadcast]:
     items = [(r.item_id, r.text) for b in blocks for r in b.collect()]
-    table = context.broadcast(WindowTable(items, window))
-    return add_columns(docs, "text", ADDED, lambda texts: table.value.scan(texts), keep)
+    table = docs.sparkSession.sparkContext.broadcast(WindowTable(items, window))
+    return add_columns(docs, "text", ADDED, lambda texts: table.value.scan(texts), keep), table
 
 
 def hit_words(spans="hit_spans"):

@@ -8,6 +8,7 @@ from .jobs import (
     gold_job,
     predict_df,
     predict_job,
+    read_bronze_history,
     read_load_status,
     read_quarantine,
     silver_job,
@@ -24,6 +25,7 @@ __all__ = [
     "gold_job",
     "predict_df",
     "predict_job",
+    "read_bronze_history",
     "read_load_status",
     "read_quarantine",
     "silver_job",

@@ -7,6 +7,7 @@ the others, and never takes the place of an earlier run that is whole.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
@@ -17,6 +18,7 @@ from functools import cached_property
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import price_bucket
 from ..operators import (
@@ -182,10 +184,27 @@ def bronze_job(
             broken = status.filter((F.col("status") != "complete") | (F.col("unnumbered_pages") > 0))
             if example := broken.first():
                 raise IncompleteLoadError(f"{broken.count()} requests are incomplete, such as {example.asDict()}")
-        work.zones.write(page_records(staged, status).select("record.*"), "bronze", identifier)
+        records = page_records(staged, status).select("record.*")
+        work.zones.write(records, "bronze", identifier)
+        details["schema"] = records.schema.json()
     return identifier
 
 
+def read_bronze_history(work: Workspace) -> DataFrame:
+    """Bronze of all complete runs as one table, with ``run_identifier``: all fields that any of them held.
+
+    Runs whose schema was not recorded count as having the declared one.
+    """
+    complete = work.runs().filter((F.col("step") == "bronze") & (F.col("state") == COMPLETE))
+    last = complete.groupBy("identifier").agg(F.max_by(F.col("details")["schema"], "recorded_at").alias("schema"))
+    schemas = {
+        r["identifier"]: StructType.fromJson(json.loads(r["schema"])) if r["schema"] else work.zones.schema("bronze") for r in last.collect()
+    }
+    if not schemas:
+        raise LookupError(f"no complete bronze of mode {work.mode!r} below {work.root_dir}")
+    return work.zones.read_runs("bronze", schemas)
+
+
 def read_load_status(work: Workspace, identifier: str | None = None) -> DataFrame:
     """How each request of a run ended, with its pages; the current run by default."""
     return work.spark.read.parquet(work.record_path("load_status", identifier or work.current_run()))

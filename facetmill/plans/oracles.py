@@ -400,6 +400,11 @@ ORACLE_SQL["run_log"] = """
     'max_iter=10;model=logistic regression on hashed words;model_name=prices;num_features=16384;reg_param=0.01;test_size=0.2' AS params,
     'eval_accuracy;eval_loss;eval_rows;eval_true_0_predicted_0;eval_true_0_predicted_1;eval_true_1_predicted_0;eval_true_1_predicted_1'
       AS metric_names, true AS model_is_kept"""
+_OWN = lambda column: f"CASE WHEN NOT two_faced THEN front_{column} END"
+ORACLE_SQL["bronze_history"] = f"""{_with(_RECORDS)}
+  SELECT oracle_id, CAST(NULL AS VARCHAR) AS loyalty, {_OWN('defense')} AS defense, CAST(length(card_name) AS VARCHAR) AS weight,
+    CAST(NULL AS VARCHAR) AS colour, usd, CAST(NULL AS VARCHAR) AS usd_foil, '240102030405' AS run_identifier FROM records
+  UNION ALL SELECT oracle_id, {_OWN('loyalty')}, NULL, CAST(length(card_name) AS VARCHAR), 'red', usd, usd_foil, '240102030406' FROM records"""
 _SCORED_GOLD = "oracle_id, name, image_link, price, true AS label_is_likelier, true AS score_is_recomputed"
 ORACLE_SQL["e2e_predict"] = f"{_gold_ctes('predict')} SELECT {_SCORED_GOLD}, true AS weights_are_fitted FROM gold"
 ORACLE_SQL["e2e_predict_tokens"] = f"{_gold_ctes('predict')} SELECT {_SCORED_GOLD} FROM gold"

@@ -26,6 +26,7 @@ from .jobs import (
     load_latest_model,
     predict_df,
     predict_job,
+    read_bronze_history,
     read_load_status,
     silver_job,
     token_rows,
@@ -473,8 +474,9 @@ def _landed(spark: SparkSession, sf_dir: str, mode: str, layout: str = "columnar
 def _land(work: Workspace, records: DataFrame) -> None:
     """A run whose bronze holds ``records``."""
     identifier = work.new_run(NOW)
-    with work.step("bronze", identifier):
+    with work.step("bronze", identifier) as details:
         work.zones.write(records, "bronze", identifier)
+        details["schema"] = records.schema.json()
 
 
 def _refined(spark: SparkSession, sf_dir: str, mode: str, layout: str = "columnar") -> Workspace:
@@ -518,6 +520,18 @@ def silver_after_failed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.withColumn("is_of_whole_load", F.lit(work.current_run("silver") == whole)).crossJoin(F.broadcast(states))
 
 
+@query
+def bronze_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads that differ in fields, in a field's type and in a name's case, read as one."""
+    work = Workspace(spark, scratch_path(spark, "lake-history"), "train")
+    records = bronze_records(spark, sf_dir)
+    size = F.char_length("name")
+    _land(work, records.drop("loyalty").withColumns({"Weight": size, "prices": F.col("prices").dropFields("usd_foil")}))
+    _land(work, records.drop("defense").withColumns({"weight": size.cast("string"), "colour": F.lit("red")}))
+    columns = ["oracle_id", "loyalty", "defense", "weight", "colour", "prices.usd", "prices.usd_foil", "run_identifier"]
+    return read_bronze_history(work).select(*columns)
+
+
 @query
 def malformed_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages of which every seventh line broke off: how the requests ended, and the lines that are no pages."""

@@ -112,6 +112,35 @@ def widened(declared: DataType, found: DataType) -> DataType:
     return declared
 
 
+def merged(first: DataType, second: DataType) -> DataType:
+    """A type that holds the values of both: all fields of both at any depth, strings where types differ.
+
+    Fields whose names differ only in case are one, under the first name.
+    """
+    if isinstance(first, StructType) and isinstance(second, StructType):
+        more = {f.name.lower(): f for f in second.fields}
+        fields = []
+        for f in first.fields:
+            other = more.pop(f.name.lower(), None)
+            fields.append(StructField(f.name, merged(f.dataType, other.dataType)) if other else f)
+        return StructType([*fields, *more.values()])
+    if isinstance(first, ArrayType) and isinstance(second, ArrayType):
+        return ArrayType(merged(first.elementType, second.elementType))
+    return first if first == second else StringType()
+
+
+def as_stored(wanted: DataType, stored: DataType | None) -> DataType:
+    """``wanted`` with the types that ``stored`` has: what a reader of the stored table is to be given."""
+    if stored is None:
+        return wanted
+    if isinstance(wanted, StructType) and isinstance(stored, StructType):
+        own = {f.name.lower(): f.dataType for f in stored.fields}
+        return StructType([StructField(f.name, as_stored(f.dataType, own.get(f.name.lower()))) for f in wanted.fields])
+    if isinstance(wanted, ArrayType) and isinstance(stored, ArrayType):
+        return ArrayType(as_stored(wanted.elementType, stored.elementType))
+    return stored
+
+
 def has_field(schema: DataType, path: str) -> bool:
     """Whether struct type ``schema`` holds the dotted ``path``."""
     for part in path.split("."):

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import normalise_strings, strip_newlines
-from ..schemas import BRONZE_SCHEMA, check_mode, gold_columns, silver_columns, string_schema
+from ..schemas import BRONZE_SCHEMA, as_stored, check_mode, gold_columns, merged, silver_columns, string_schema
 from ..session import filesystem, folder_names, remove_folder
 
 # Storage format by zone. "text" keeps row files that people can open; "columnar"
@@ -107,6 +109,26 @@ class ZoneStore:
             return self._read_buckets(zone, identifier)
         return read_table(self.spark, self.path(zone, identifier), self.format(zone), schema)
 
+    def read_runs(self, zone: str, schemas: Mapping[str, StructType]) -> DataFrame:
+        """The tables of several runs as one, with ``run_identifier``; ``schemas`` has what each was written with.
+
+        Fields that a run lacks are null, and fields of different types are strings.
+        Runs of the same schema are read together, so the plan follows the number of
+        different schemas.
+        """
+        whole = reduce(merged, schemas.values())
+        groups: dict[str, list[str]] = {}
+        for identifier, schema in sorted(schemas.items()):
+            groups.setdefault(schema.json(), []).append(identifier)
+        parts = []
+        for identifiers in groups.values():
+            stored = as_stored(whole, schemas[identifiers[0]])
+            reader = self.spark.read.format(self.format(zone)).options(**_OPTIONS.get(self.format(zone), {})).schema(stored)
+            df = reader.load([self.path(zone, i) for i in identifiers])
+            name = F.regexp_extract("_metadata.file_path", rf"/{self.mode}_{zone}_(\w+)\.[^/]*/[^/]*$", 1)
+            parts.append(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in whole.fields], name.alias("run_identifier")))
+        return reduce(DataFrame.unionByName, parts)
+
     def prepared(self, df: DataFrame, zone: str) -> DataFrame:
         """``df`` as ``zone`` holds it: text of silver and gold normalised, so all layouts hand on the same values."""
         return df if zone == "bronze" else normalise_strings(df)

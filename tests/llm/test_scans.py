@@ -175,3 +175,30 @@ def test_no_content_line_is_left_out_of_the_region():
         for cut in (8, 2):
             page = f"<body><nav>Menu</nav><{one}>{''.join(p[:cut])}</{one}>{ad}<{two}>{''.join(p[cut:])}</{two}></body>"
             assert extraction.main_text(page) == "\n".join(paragraphs)
+
+
+def test_one_block_of_the_benchmark_at_a_time(spark):
+    """Six blocks: no stage scans for two of them, and the rows are those of one block."""
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(40)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(k, text(rng.randint(1, 30))) for k in range(60)] + [(100, "w1 w2 w3"), (101, "w1 w2 w3"), (None, "w4 w5")]
+    docs = [(k, text(200) + " " + items[k % 60][1], "x") for k in range(80)] + [(7, "w1 w2 w3", "y"), (7, "w1 w2 w3", "y"), (None, None, None)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, n_words string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    one = decontamination.scan_documents(docs, bench, window=3)
+    size = sum(len(t) + 64 for _, t in items)
+    many = decontamination.scan_documents(docs, bench, window=3, block_bytes=size // 6 + 1)
+    assert many.columns == one.columns
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
+    assert "MapInArrow" not in many._jdf.queryExecution().executedPlan().toString()
+    short = [r for r in one.collect() if r["doc_id"] == 7 and r["n_words"] == 3]
+    assert len(short) == 2 and {"100", "101"} <= set(short[0]["hit_items"])
+
+
+def test_a_table_is_not_much_larger_than_its_text():
+    import pickle
+
+    rng = random.Random(10)
+    items = [(str(k), " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(100))) for k in range(1700)]
+    assert len(pickle.dumps(decontamination.WindowTable(items, 10))) < 10 * sum(len(t) for _, t in items)

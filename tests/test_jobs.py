@@ -9,7 +9,7 @@ from cards import CARDS, bronze, card
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from facetmill import IncompleteLoadError, Workspace, bronze_job, gold_job, predict_df, predict_job, read_load_status, silver_job, train_job
+from facetmill import IncompleteLoadError, Workspace, bronze_job, gold_job, predict_df, predict_job, read_bronze_history, read_load_status, silver_job, train_job
 from facetmill.plans import TrainingConfig
 from facetmill.plans.jobs import load_latest_model
 from facetmill.schemas import RESULT_COLUMNS, gold_columns
@@ -111,6 +111,25 @@ def test_bronze_keeps_every_field_of_a_record(spark, tmp_path):
     assert work.zones.read("silver", identifier).count() == 1
 
 
+@pytest.mark.parametrize("layout", ["columnar", "text"])
+def test_loads_with_different_fields_read_as_one(spark, tmp_path, layout):
+    work = Workspace(spark, str(tmp_path / "lake"), "predict", layout)
+    base = {"name": "Lamp", "reprint": False, "digital": False, "released_at": "2020-01-19"}
+    loads = [{"oracle_id": "x", "size": 4, "prices": {"usd": "1", "eur": "2"}}, {"oracle_id": "y", "size": "large", "parts": [{"n": 1}]}]
+    runs = []
+    for k, own in enumerate(loads):
+        landed = tmp_path / f"landed{k}"
+        landed.mkdir()
+        (landed / "p.json").write_text(json.dumps({"request_id": "r", "page_no": 0, "object": "list", "data": [base | own]}))
+        runs.append(bronze_job(work, read_pages(spark, str(landed)), AS_OF))
+    got = {r.run_identifier: r for r in read_bronze_history(work).collect()}
+    assert [got[i].size for i in runs] == ["4", "large"] and [got[i].oracle_id for i in runs] == ["x", "y"]
+    assert got[runs[0]].prices.eur == "2" and got[runs[1]].prices is None
+    assert got[runs[0]].parts is None and got[runs[1]].parts[0].n == 1
+    with pytest.raises(LookupError):
+        read_bronze_history(Workspace(spark, str(tmp_path / "other"), "predict", layout))
+
+
 def test_silver_on_inferred_bronze(spark, tmp_path):
     work = Workspace(spark, str(tmp_path), "train")
     with work.step("bronze", identifier := work.new_run()):
