@@ -140,7 +140,7 @@ def test_long_lines_of_any_script_stay_alike(spark):
     frame = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "id long, a string, b string")
     frame = frame.select("id", fingerprints.digests(frame.a).alias("x"), fingerprints.digests(frame.b).alias("y"))
     near = {x["id"]: x["near"] for x in frame.select("id", fingerprints.likeness(frame.x, frame.y).alias("near")).collect()}
-    assert near[0] > 0.5 and near[1] > 0.8 and near[2] > 0.5 and near[3] == 0
+    assert near[0] > 0.3 and near[1] > 0.8 and near[2] > 0.5 and near[3] == 0
 
 
 def test_many_lines_and_texts_of_different_length(spark):
@@ -151,7 +151,7 @@ def test_many_lines_and_texts_of_different_length(spark):
     frame = frame.select("id", "a", "b", fingerprints.digests(frame.a).alias("x"), fingerprints.digests(frame.b).alias("y"))
     for row in frame.select("*", fingerprints.likeness(frame.x, frame.y).alias("near")).collect():
         a, b = set(row["a"].split("\n")), set(row["b"].split("\n"))
-        assert row["near"] == pytest.approx(1 - len(a ^ b) / (len(a) + len(b)), abs=1e-12)
+        assert abs(row["near"] - (1 - len(a ^ b) / (len(a) + len(b)))) < 1e-12
 
 
 def test_next_keys(spark):
