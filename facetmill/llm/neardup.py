@@ -27,7 +27,9 @@ between the steps are written to the shared scratch folder.
 
 Defined cases: texts without words, empty and null texts have an empty set and are
 linked with nothing; a row without doc_id has no component and is kept; repeated
-rows of one doc_id are one document; extra columns pass through ``drop_duplicates``.
+rows of one doc_id are one document; of the documents of a group the one with the
+smallest doc_id stays, so there are no ties; a table without rows gives none; extra
+columns pass through ``drop_duplicates``.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ piece's number among those of its length comes from counts per hash bucket, so n
 task sees all pieces of a length.
 
 Defined cases: null and empty texts are one piece of the end id alone; repeated
-rows are packed once each; a table without rows gives none; extra columns are not
+rows are packed once each; pieces of equal length are numbered by doc_id and piece,
+those of repeated rows in either order; a table without rows gives none; extra columns are not
 part of the result.
 """
 

@@ -8,8 +8,8 @@ is how sensitive its most sensitive name is, times how much it looks like a
 secret. Fixed patterns (assignments to plain key words, access key ids, long hex
 runs) are found as well and never taken back.
 
-Defined cases: null and empty texts have no spans; repeated rows get equal
-results; extra columns pass through, and input columns named like an added one are
+Defined cases: null and empty texts have no spans; spans with the same start are
+listed by kind; repeated rows get equal results; a table without rows gives none; extra columns pass through, and input columns named like an added one are
 replaced. Places are code points, ends exclusive.
 """
 

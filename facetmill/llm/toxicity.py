@@ -13,7 +13,9 @@ the share of toxic texts among those that have it, less its error; a text's scor
 its largest weight, or the overall share.
 
 Defined cases: null and empty texts, and those without words, score the overall
-share; without labelled rows every score is 0; repeated rows get equal results;
+share; without labelled rows every score is 0; of equally likely readings of a token
+one is taken, the same for all rows; repeated rows get equal results; a table without
+rows gives none;
 extra columns pass through, and input columns named like an added one are replaced.
 """
 

@@ -5,8 +5,8 @@ for each hash bucket, become a literal array; a URL's score is the logistic of t
 sum over its n-grams.
 
 Defined cases: a null URL or one without ``://`` has empty host and path, no rule,
-and is allowed by the method with score 0; repeated rows get equal results; extra
-columns pass through, and input columns named like an added one are replaced.
+and is allowed by the method with score 0; repeated rows get equal results; a table
+without rows gives none; extra columns pass through, and input columns named like an added one are replaced.
 """
 
 from __future__ import annotations
