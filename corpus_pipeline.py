@@ -2,6 +2,15 @@
 
 Each stage takes the documents that the one before it kept and was written as
 Parquet; all but the last return the columns of documents.
+
+Defined cases: documents with a null or empty text, or without a letter, have no
+language and go with the first stage; a null language is a label that nothing is
+learned from; a null doc_id, source or n_chars stays as it is (n_chars is counted anew
+by the fourth stage), and a row without doc_id is nobody's copy; repeated rows of one
+doc_id are one document from the second stage on; of equal copies the smallest doc_id
+stays; very long texts are read whole; tables without rows give none; columns beyond
+those of documents pass through all stages but the last, those named like a column
+that an operator adds included.
 """
 
 from __future__ import annotations
