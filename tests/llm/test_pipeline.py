@@ -70,6 +70,26 @@ def test_stages_keep_and_drop_what_they_should(spark, tmp_path):
     assert len(got) == len(kept)
 
 
+def test_stages_hand_on_columns_that_are_named_like_their_own(spark, tmp_path):
+    """Extra columns with the names that operators add, repeated rows, nulls in every column."""
+    docs, items = _corpus()
+    extra = ["hit_spans", "hit_items", "n_words", "lang_pred", "score", "spans", "kept", "component_id", "n_shingles", "__row"]
+    rows = [(*d, *[f"{name} {d[0]}" for name in extra]) for d in [*docs, docs[5]]]
+    rows.append((None, docs[7][1] + " own end", None, None, None, *[None] * len(extra)))
+    frame = spark.createDataFrame(rows, f"{SCHEMA}, " + ", ".join(f"{name} string" for name in extra))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        before = frame.columns
+        frame = stage(spark, frame, str(tmp_path))
+        assert frame.columns == before
+        frame.write.parquet(out := f"{tmp_path}/out-{k}")
+        frame = spark.read.parquet(out)
+    left = frame.collect()
+    assert sum(r["doc_id"] == docs[5][0] for r in left) == 1
+    assert all(r[name] == f"{name} {r['doc_id']}" for r in left if r["doc_id"] is not None for name in extra)
+    assert {r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, frame, str(tmp_path)).collect()} == {r["doc_id"] for r in left}
+
+
 def test_pipeline_over_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
