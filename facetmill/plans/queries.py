@@ -14,7 +14,7 @@ from .. import operators as op
 from .. import sources as src
 from ..operators.model import Scorer
 from ..schemas import BRONZE_SCHEMA, MODEL_TEXT_COLUMNS, field_or_null
-from ..session import scratch_path
+from ..session import materialise, scratch_path
 from ..sources.runs import COMPLETE, FAILED, STARTED, STEPS
 from .jobs import (
     IncompleteLoadError,
@@ -406,7 +406,7 @@ def encoded_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def encoded_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training set as token ids under its own vocabulary."""
-    training = op.training_set(_gold(spark, sf_dir, "train"))
+    training = materialise(op.training_set(_gold(spark, sf_dir, "train")), "training-set")
     encoded = op.encoded_training_set(training, op.build_vocabulary(training, "gameplay_text"), max_length=32)
     return encoded.select(
         *[F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("input_ids", "attention_mask")], "label"
