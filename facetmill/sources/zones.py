@@ -32,6 +32,10 @@ ITEM = "oracle_id"
 # A fixed line separator keeps carriage returns inside values from splitting rows.
 _OPTIONS = {"csv": {"sep": ";", "header": "true", "lineSep": "\n"}}
 
+# Row files repeat every field's name or marks in every row, so they are compressed. Such
+# a file is read by one task: it holds a bounded number of rows.
+_COMPRESSED = {"compression": "gzip", "maxRecordsPerFile": "500000"}
+
 
 def read_table(
     spark: SparkSession, path: str, fmt: str, schema: StructType | None = None, malformed: str | None = None
@@ -59,7 +63,8 @@ def write_table(df: DataFrame, path: str, fmt: str) -> None:
     if fmt == "csv":
         texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
         df = df.withColumns({name: strip_newlines(F.col(name)) for name in texts})
-    df.write.format(fmt).options(**_OPTIONS.get(fmt, {})).mode("overwrite").save(path)
+    packed = _COMPRESSED if fmt == "json" else {}
+    df.write.format(fmt).options(**_OPTIONS.get(fmt, {}), **packed).mode("overwrite").save(path)
 
 
 @dataclass(frozen=True)
