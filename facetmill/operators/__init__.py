@@ -34,7 +34,7 @@ from .model import (
     select_results,
     unpack_results,
 )
-from .model_checks import gradient_share, recomputed_scores, recomputed_token_scores, word_weights
+from .model_checks import gradient_share, recomputed_scores, recomputed_token_scores
 from .silver import silver_transform
 from .token_model import TokenModel, fit_token_model, score_with_token_model, with_token_probability
 
@@ -82,5 +82,4 @@ __all__ = [
     "unpack_results",
     "with_row_text",
     "with_token_probability",
-    "word_weights",
 ]
