@@ -63,7 +63,7 @@ def write_table(df: DataFrame, path: str, fmt: str) -> None:
     if fmt == "csv":
         texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
         df = df.withColumns({name: strip_newlines(F.col(name)) for name in texts})
-    packed = _COMPRESSED if fmt == "json" else {}
+    packed = _COMPRESSED if fmt in ("json", "csv") else {}
     df.write.format(fmt).options(**_OPTIONS.get(fmt, {}), **packed).mode("overwrite").save(path)
 
 
