@@ -220,7 +220,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
                     ok.append(100 * common >= percent * (len(both) - common) > 0)
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], schema.names).filter(pa.array(ok, pa.bool_()))
 
-    return joined.select("a", "b", "sa", "sb").mapInArrow(verify, schema)
+    return materialise(joined.select("a", "b", "sa", "sb").mapInArrow(verify, schema), "links")
 
 
 def _open(pairs: DataFrame, labels: DataFrame) -> DataFrame:

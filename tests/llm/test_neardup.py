@@ -101,3 +101,18 @@ def test_components(spark):
     moved = {i for a, b in edges if a != b for i in (a, b)}
     assert got == {i: root(i) for i in moved}
     assert components.connect(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_verified_pairs_are_written_before_they_are_connected(spark, monkeypatch):
+    """Verifying and contracting are Python steps: in one task they are two workers for each core."""
+    plans, contracted = [], components._contracted
+
+    def seen(edges):
+        plans.append(edges._jdf.queryExecution().toString())
+        return contracted(edges)
+
+    monkeypatch.setattr(components, "_contracted", seen)
+    texts = [" ".join(f"w{k}x{n}" for n in range(40)) + f" end{copy}" for k in range(3) for copy in range(2)]
+    got = neardup.near_duplicate_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4}
+    assert plans and not any("MapInArrow" in plan for plan in plans)
