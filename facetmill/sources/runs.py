@@ -92,6 +92,15 @@ def run_states(log: DataFrame) -> DataFrame:
 def _claimed(spark: SparkSession, root_dir: str, mode: str, identifier: str) -> bool:
     """Whether this call is the first to take ``identifier``; the file system decides."""
     system, place = filesystem(spark, f"{root_dir.rstrip('/')}/run_claims/{mode}/{identifier[:SLOT_DIGITS]}/{identifier}")
+    system.mkdirs(place.getParent())
+    folder = system.resolvePath(place.getParent()).toUri()
+    if folder.getScheme() == "file":
+        # Hadoop's local file system looks first and creates then, so two could both be first.
+        try:
+            open(f"{folder.getPath()}/{identifier}", "x").close()
+        except FileExistsError:
+            return False
+        return True
     try:
         system.create(place, False).close()
     except Py4JJavaError as error:

@@ -36,7 +36,7 @@ from facetmill.sources import (
     write_table,
     zones,
 )
-from facetmill.sources.runs import RUN_SCHEMA, run_log
+from facetmill.sources.runs import RUN_SCHEMA, _claimed, run_log
 
 RECORD = string_schema(["v"])
 
@@ -161,6 +161,13 @@ def test_runs_of_one_second_have_their_own_identifiers(spark, tmp_path):
     assert sorted(got) == ["240718095959", *[f"24071810000{k}" for k in range(5)]]
 
 
+def test_one_of_many_at_a_time_claims_an_identifier(spark, tmp_path):
+    with ThreadPoolExecutor(8) as pool:
+        for k in range(40):
+            claimed = list(pool.map(lambda _: _claimed(spark, f"file://{tmp_path}", "train", f"2407181000{k:02d}"), range(8)))
+            assert sum(claimed) == 1
+
+
 def test_latest_run_is_found_in_few_files_among_many(spark, tmp_path):
     """Ten thousand runs: only the newest hours are read, even if their runs all failed."""
     root, rows = str(tmp_path), []
